@@ -60,3 +60,76 @@ def flights_sql(body: str) -> str:
 
 
 __all__ = ["r2", "sdiv", "cnt", "flights_sql", "cte_sql", "register_cte", "ENRICH_WEATHER"]
+
+
+# ---------------------------------------------------------------------------
+# stations, airports, matching
+# ---------------------------------------------------------------------------
+def hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
+    return (f"2 * 6371.0 * asin(sqrt(pow(sin((radians({lat2}) - radians({lat1})) / 2), 2) + "
+            f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin((radians({lon2}) - radians({lon1})) / 2), 2)))")
+
+
+register_cte("tb_stations_active", (
+    "SELECT wban AS station_id, CAST(lat AS DOUBLE) AS st_lat, CAST(lon AS DOUBLE) AS st_lon FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY wban ORDER BY \"end\" DESC, usaf DESC) AS rn "
+    "FROM tb_stations_raw WHERE country = 'US' AND wban IS NOT NULL AND wban <> '99999' "
+    "AND lat IS NOT NULL AND lon IS NOT NULL AND \"end\" >= '20190101') s WHERE rn = 1"), ["tb_stations_raw"])
+register_cte("tb_ap", (
+    "SELECT faa_identifier AS iata, CAST(latitude AS DOUBLE) AS ap_lat, CAST(longitude AS DOUBLE) AS ap_lon "
+    "FROM tb_airports WHERE faa_identifier IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT NULL"),
+    ["tb_airports"])
+register_cte("tb_box", (
+    "SELECT a.iata, a.ap_lat, a.ap_lon, s.station_id, s.st_lat, s.st_lon FROM tb_ap a JOIN tb_stations_active s "
+    "ON abs(a.ap_lat - s.st_lat) < 0.75 AND abs(a.ap_lon - s.st_lon) < 0.75"), ["tb_ap", "tb_stations_active"])
+register_cte("tb_cands", (
+    f"SELECT iata, station_id, {hav('ap_lat', 'ap_lon', 'st_lat', 'st_lon')} AS distance_km FROM tb_box"),
+    ["tb_box"])
+register_cte("tb_cands_exact", (
+    f"SELECT * FROM (SELECT a.iata, s.station_id, {hav('a.ap_lat', 'a.ap_lon', 's.st_lat', 's.st_lon')} "
+    "AS distance_km FROM tb_ap a, tb_stations_active s) x"), ["tb_ap", "tb_stations_active"])
+for _name, _src in (("tb_map", "tb_cands"), ("tb_map_exact", "tb_cands_exact")):
+    register_cte(_name, (
+        "SELECT iata, station_id, distance_km FROM (SELECT *, row_number() OVER (PARTITION BY iata "
+        f"ORDER BY distance_km, station_id) AS rn FROM {_src} WHERE distance_km < 50) m WHERE rn = 1"), [_src])
+
+# ---------------------------------------------------------------------------
+# weather
+# ---------------------------------------------------------------------------
+_WX_READ = [("temp", "temp"), ("dewp", "dewp"), ("slp", "slp"), ("visib", "visib"), ("wdsp", "wdsp"),
+            ("mxpsd", "mxpsd"), ("gust", "gust"), ("max", "temp_max"), ("min", "temp_min"),
+            ("prcp", "prcp"), ("sndp", "sndp")]
+_WX_FLAG = [("fog", "fog"), ("rain_drizzle", "rain"), ("snow_ice_pellets", "snow"), ("hail", "hail"),
+            ("thunder", "thunder"), ("tornado_funnel_cloud", "tornado")]
+WX_COLS = [d for _, d in _WX_READ] + [d for _, d in _WX_FLAG]
+_DATE = "concat_ws('-', year, mo, da)"
+register_cte("tb_weather", (
+    "SELECT wban AS station_id, "
+    f"CASE WHEN regexp_full_match({_DATE}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN TRY_CAST({_DATE} AS DATE) END "
+    "AS weather_date, "
+    + ", ".join(f"TRY_CAST({s} AS DOUBLE) AS {d}" for s, d in _WX_READ) + ", "
+    + ", ".join(f"{s} AS {d}" for s, d in _WX_FLAG)
+    + ", stn FROM tb_weather_raw WHERE wban <> '99999' AND TRY_CAST(year AS INTEGER) BETWEEN 2019 AND 2025"),
+    ["tb_weather_raw"])
+_DEDUPE = ["temp", "dewp", "visib", "wdsp", "mxpsd", "gust", "prcp", "fog", "rain", "snow", "thunder",
+           "slp", "temp_max", "temp_min", "sndp", "hail", "tornado"]
+register_cte("tb_wx", (
+    "SELECT station_id, weather_date, " + ", ".join(WX_COLS) + " FROM (SELECT *, row_number() OVER ("
+    "PARTITION BY station_id, weather_date ORDER BY stn NULLS FIRST, "
+    + ", ".join(f"{c} NULLS FIRST" for c in _DEDUPE)
+    + ") AS rn FROM tb_weather WHERE weather_date IS NOT NULL) w WHERE rn = 1"), ["tb_weather"])
+
+# ---------------------------------------------------------------------------
+# enrichment
+# ---------------------------------------------------------------------------
+register_cte("tb_fs", (
+    "SELECT f.*, mo.station_id AS origin_station, md.station_id AS dest_station FROM tb_flights f "
+    "LEFT JOIN tb_map mo ON f.origin = mo.iata LEFT JOIN tb_map md ON f.dest = md.iata"),
+    ["tb_flights", "tb_map"])
+register_cte("tb_enriched", (
+    "SELECT f.*, "
+    + ", ".join(f"wo.{c} AS origin_{c}" for c in ENRICH_WEATHER) + ", "
+    + ", ".join(f"wd.{c} AS dest_{c}" for c in ENRICH_WEATHER)
+    + " FROM tb_fs f LEFT JOIN tb_wx wo ON wo.station_id = f.origin_station AND wo.weather_date = f.flight_date "
+    "LEFT JOIN tb_wx wd ON wd.station_id = f.dest_station AND wd.weather_date = f.flight_date"),
+    ["tb_fs", "tb_wx"])

@@ -1 +1,140 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: station matching (S8, P10, A10, J1, J2, W1, F9), weather
+(S9, P11, P12, U1, A11), enrichment (J3-J6, P13) and the weather views/reports
+(V3, V4, A4, P18)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ontime.operators import geo
+from ontime.operators.enrich import attach_stations
+from ontime.operators.weather import dedupe_weather
+from ontime.plans import chain, reports, views
+from ontime.plans.oracles import WX_COLS, cte_sql, r2, sdiv
+from ontime.plans.registry import register
+from ontime.schema import CLEAN_COLUMNS, ENRICHED_COLUMNS, WEATHER_COLUMNS
+from ontime.sources import tables
+from ontime.sources import testbed as tb
+
+
+def _stations(spark, d):
+    return geo.active_stations(tb.stations_raw(spark, d))
+
+
+def _airports(spark, d):
+    return tables.airports(tb.airports_raw(spark, d))
+
+
+@register("stations_active", cte_sql("SELECT station_id, st_lat, st_lon FROM tb_stations_active",
+                                     "tb_stations_active"), "geo")
+def q_stations_active(spark, d):
+    return _stations(spark, d)
+
+
+@register("box_join", cte_sql("SELECT iata, station_id, ap_lat, ap_lon, st_lat, st_lon FROM tb_box", "tb_box"), "geo")
+def q_box_join(spark, d):
+    return geo.box_pairs(_airports(spark, d), _stations(spark, d), 0.75).select(
+        "iata", "station_id", "ap_lat", "ap_lon", "st_lat", "st_lon")
+
+
+@register("haversine", cte_sql(f"SELECT iata, station_id, {r2('distance_km', 6)} AS distance_km FROM tb_cands "
+                               "WHERE distance_km < 50", "tb_cands"), "geo")
+def q_haversine(spark, d):
+    c = geo.station_candidates(_airports(spark, d), _stations(spark, d), 50.0, 0.75, "box")
+    return c.select("iata", "station_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+@register("radius_join", cte_sql(f"SELECT iata, station_id, {r2('distance_km', 6)} AS distance_km "
+                                 "FROM tb_cands_exact WHERE distance_km < 50", "tb_cands_exact"), "geo")
+def q_radius_join(spark, d):
+    c = geo.station_candidates(_airports(spark, d), _stations(spark, d), 50.0, mode="exact")
+    return c.select("iata", "station_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+@register("airport_station_map", cte_sql(f"SELECT iata, station_id, {r2('distance_km', 6)} AS distance_km "
+                                         "FROM tb_map", "tb_map"), "geo")
+def q_map(spark, d):
+    return chain.mapping(spark, d).select("iata", "station_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+@register("airport_station_map_exact", cte_sql(f"SELECT iata, station_id, {r2('distance_km', 6)} AS distance_km "
+                                               "FROM tb_map_exact", "tb_map_exact"), "geo")
+def q_map_exact(spark, d):
+    return chain.mapping(spark, d, "exact").select(
+        "iata", "station_id", F.round("distance_km", 6).alias("distance_km"))
+
+
+@register("weather_union", cte_sql(f"SELECT station_id, weather_date, {', '.join(WX_COLS)}, stn FROM tb_weather",
+                                   "tb_weather"), "weather")
+def q_weather_union(spark, d):
+    return chain.weather(spark, d)
+
+
+@register("weather_date", cte_sql("SELECT weather_date, CAST(count(*) AS BIGINT) AS readings FROM tb_weather "
+                                  "GROUP BY weather_date", "tb_weather"), "weather")
+def q_weather_date(spark, d):
+    return chain.weather(spark, d).groupBy("weather_date").agg(F.count(F.lit(1)).alias("readings"))
+
+
+@register("weather_dedup", cte_sql(f"SELECT station_id, weather_date, {', '.join(WX_COLS)} FROM tb_wx", "tb_wx"),
+          "weather")
+def q_weather_dedup(spark, d):
+    return dedupe_weather(chain.weather(spark, d)).select(*WEATHER_COLUMNS)
+
+
+@register("flights_station", cte_sql(
+    f"SELECT {', '.join(CLEAN_COLUMNS)}, origin_station, dest_station FROM tb_fs", "tb_fs"), "enrich")
+def q_flights_station(spark, d):
+    f = attach_stations(tb.flights(spark, d), chain.mapping(spark, d))
+    return f.select(*CLEAN_COLUMNS, "origin_station", "dest_station")
+
+
+@register("enriched", cte_sql(f"SELECT {', '.join(ENRICHED_COLUMNS)} FROM tb_enriched", "tb_enriched"), "enrich")
+def q_enriched(spark, d):
+    return chain.enriched(spark, d)
+
+
+_WIND = ("CASE WHEN origin_wdsp < 5 THEN '00-05 kt' WHEN origin_wdsp < 10 THEN '05-10 kt' "
+         "WHEN origin_wdsp < 20 THEN '10-20 kt' WHEN origin_wdsp < 30 THEN '20-30 kt' ELSE '30+ kt' END")
+_PRCP = ("CASE WHEN origin_prcp = 0 THEN 'none' WHEN origin_prcp < 0.1 THEN 'light' "
+         "WHEN origin_prcp < 0.5 THEN 'moderate' ELSE 'heavy' END")
+_VIS = ("CASE WHEN origin_visib >= 10 THEN 'clear (>=10 mi)' WHEN origin_visib >= 3 THEN 'reduced (3-10 mi)' "
+        "ELSE 'poor (<3 mi)' END")
+
+
+@register("weather_buckets", cte_sql(
+    f"SELECT {_WIND} AS wind_bucket, {_PRCP} AS precip_bucket, {_VIS} AS visib_bucket, arr_del15, cancelled "
+    "FROM tb_enriched WHERE origin_wdsp IS NOT NULL", "tb_enriched"), "views")
+def q_weather_buckets(spark, d):
+    return views.weather_buckets(chain.enriched(spark, d))
+
+
+@register("weather_correlation", cte_sql(
+    f"SELECT {_WIND} AS wind_bucket, {_PRCP} AS precip_bucket, {_VIS} AS visib_bucket, "
+    "CAST(count(*) AS BIGINT) AS flights, "
+    f"{sdiv('count_if(arr_del15 = 1)', 'count(*)')} AS delay_rate, "
+    f"{sdiv('count_if(cancelled = 1)', 'count(*)')} AS cancellation_rate "
+    "FROM tb_enriched WHERE origin_wdsp IS NOT NULL GROUP BY 1, 2, 3", "tb_enriched"), "views")
+def q_weather_correlation(spark, d):
+    return views.weather_correlation(chain.enriched(spark, d))
+
+
+@register("airport_heatmap", cte_sql(
+    "SELECT ap.iata, ap.name, ap.latitude, ap.longitude, CAST(count(*) AS BIGINT) AS total_flights, "
+    "avg(f.dep_delay_minutes) AS avg_dep_delay_min, avg(f.arr_delay_minutes) AS avg_arr_delay_min, "
+    f"{sdiv('count_if(f.cancelled = 1)', 'count(*)')} AS cancellation_rate "
+    "FROM tb_flights f JOIN (SELECT faa_identifier AS iata, latitude, longitude, name FROM tb_airports "
+    "WHERE faa_identifier IS NOT NULL) ap ON f.origin = ap.iata GROUP BY 1, 2, 3, 4",
+    "tb_flights", "tb_airports"), "views")
+def q_airport_heatmap(spark, d):
+    # only flight columns are used, so it reads flights_clean (one row per flight, like the enriched table)
+    return views.airport_heatmap(tb.flights(spark, d), tb.airports_raw(spark, d))
+
+
+@register("wind_vs_calm", cte_sql(
+    "SELECT CASE WHEN origin_wdsp >= 20 THEN 'windy (>=20 kt)' ELSE 'calm (<20 kt)' END AS wind_cat, "
+    f"CAST(count(*) AS BIGINT) AS flights, {r2('avg(arr_delay_minutes)')} AS avg_arr_delay_min, "
+    f"{r2(sdiv('count_if(arr_del15 = 1)', 'count(*)') + ' * 100')} AS delay_pct "
+    "FROM tb_enriched WHERE origin_wdsp IS NOT NULL GROUP BY 1", "tb_enriched"), "reports")
+def q_wind_vs_calm(spark, d):
+    return reports.wind_vs_calm(chain.enriched(spark, d))
