@@ -1 +1,64 @@
-"""Registered queries (filled in below)."""
+"""Registered queries for sources and sinks: partitioned writes read back (S10-S12),
+ZIP-of-CSV ingest (S1-S5) with its status output (S3), and incremental streaming
+ingest (S15).  Inputs are written from the supplied tables into a fresh folder under
+the session's shared checkpoint directory; the results are read back from storage."""
+
+from __future__ import annotations
+
+from ontime.operators.clean import clean_flights
+from ontime.plans import chain
+from ontime.plans.oracles import cte_sql, flights_sql
+from ontime.plans.registry import register
+from ontime.schema import AIRPORT_STATION_COLUMNS, CLEAN_COLUMNS, ENRICHED_COLUMNS
+from ontime.session import shared_dir
+from ontime.sources import sinks, zipcsv
+from ontime.sources import testbed as tb
+from ontime.streaming.incremental import ingest_new_archives, read_ingested
+
+_CLEAN_SQL = flights_sql(f"SELECT {', '.join(CLEAN_COLUMNS)} FROM tb_flights")
+
+
+@register("clean_roundtrip", _CLEAN_SQL, "io")
+def q_clean_roundtrip(spark, d):
+    path = shared_dir(spark, "flights_clean")
+    sinks.write_clean(tb.flights(spark, d), path)
+    return sinks.read_clean(spark, path)
+
+
+@register("lookup_roundtrip", cte_sql("SELECT iata, station_id, distance_km FROM tb_map", "tb_map"), "io")
+def q_lookup_roundtrip(spark, d):
+    path = shared_dir(spark, "airport_station")
+    sinks.write_lookup(chain.mapping(spark, d), path)
+    return spark.read.parquet(path).select(*AIRPORT_STATION_COLUMNS)
+
+
+@register("fact_roundtrip", cte_sql(f"SELECT {', '.join(ENRICHED_COLUMNS)} FROM tb_enriched", "tb_enriched"), "io")
+def q_fact_roundtrip(spark, d):
+    path = shared_dir(spark, "flights_weather_enriched")
+    sinks.write_fact(chain.enriched(spark, d), path)
+    return sinks.read_fact(spark, path)
+
+
+def _archives(spark, d) -> str:
+    root = shared_dir(spark, "raw_flights")
+    zipcsv.write_zip_archives(tb.raw_flights(spark, d), root).count()
+    return root
+
+
+@register("zip_csv_ingest", _CLEAN_SQL, "io")
+def q_zip_csv_ingest(spark, d):
+    return clean_flights(zipcsv.read_zip_csv(spark, _archives(spark, d)))
+
+
+@register("archive_status", None, "io")
+def q_archive_status(spark, d):
+    return zipcsv.archive_status(spark, _archives(spark, d))
+
+
+@register("incremental_ingest", _CLEAN_SQL, "io")
+def q_incremental_ingest(spark, d):
+    root = _archives(spark, d)
+    out, ckpt = shared_dir(spark, "ingested"), shared_dir(spark, "ingest_checkpoint")
+    ingest_new_archives(spark, root, out, ckpt)
+    ingest_new_archives(spark, root, out, ckpt)   # a re-run finds nothing new
+    return read_ingested(spark, out)
