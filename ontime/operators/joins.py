@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
     """``broadcast(df)`` only after checking its size; otherwise leave the strategy to
     the planner (sort-merge / shuffled hash join, re-planned by AQE at run time).
 
     The check is a count of the small side only (cheap on a lookup read from Parquet,
-    where it is answered from file metadata)."""
-    n = df.count()
+    where it is answered from file metadata); pass ``rows`` when it is already known,
+    e.g. observed while the side was written."""
+    n = df.count() if rows is None else rows
     return F.broadcast(df) if n <= max_rows else df

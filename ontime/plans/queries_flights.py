@@ -1,14 +1,13 @@
-"""Registered queries over the cleaned flights: cleaning (P1-P8), views V1/V2/V5,
-reports A1-A3/A5.  None of these needs weather, so they read ``flights_clean``
-directly -- the enriched table has exactly one row per flight (every join on the
-way is a left join against a key-unique side), so the results are identical and
-two shuffles of the fact table are saved."""
+"""Registered queries over the flights: cleaning (P1-P8) from the raw rendering, and
+views V1/V2/V5 and reports A1-A3/A5 over the materialised fact table (the enriched
+table has exactly one row per flight: every join on the way is a left join against
+a key-unique side).  Their oracles read the cleaned flights directly."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ontime.plans import reports, views
+from ontime.plans import chain, reports, views
 from ontime.plans.oracles import cnt, flights_sql, r2, sdiv
 from ontime.plans.registry import register
 from ontime.schema import CLEAN_COLUMNS
@@ -47,7 +46,7 @@ def q_delay_label(spark, d):
     f"{sdiv('count_if(arr_del15 = 0 AND cancelled = 0)', 'count(*)')} AS on_time_rate "
     "FROM tb_flights GROUP BY 1"), "views")
 def q_monthly(spark, d):
-    return views.monthly_ontime_trend(tb.flights(spark, d))
+    return views.monthly_ontime_trend(chain.fact_table(spark, d))
 
 
 @register("delay_cause_breakdown", flights_sql(
@@ -55,10 +54,7 @@ def q_monthly(spark, d):
     + ", ".join(f"CAST(sum(coalesce({s}, 0)) AS BIGINT) AS {t}" for s, t in views.CAUSES)
     + ", CAST(count(*) AS BIGINT) AS flights FROM tb_flights WHERE arr_del15 = 1 GROUP BY 1, 2"), "views")
 def q_causes(spark, d):
-    return views.delay_cause_breakdown(tb.flights(spark, d))
-
-
-_PCT = "{num} * 100"
+    return views.delay_cause_breakdown(chain.fact_table(spark, d))
 
 
 @register("airline_kpi", flights_sql(
@@ -69,7 +65,7 @@ _PCT = "{num} * 100"
     f"{r2(sdiv('count_if(diverted = 1)', 'count(*)') + ' * 100')} AS diversion_pct "
     "FROM tb_flights GROUP BY reporting_airline ORDER BY flights DESC, reporting_airline"), "views")
 def q_airline_kpi(spark, d):
-    return views.airline_kpi(tb.flights(spark, d))
+    return views.airline_kpi(chain.fact_table(spark, d))
 
 
 @register("headline", flights_sql(
@@ -77,7 +73,7 @@ def q_airline_kpi(spark, d):
     f"{cnt('diverted = 1')} AS diverted, {r2('avg(arr_delay_minutes)')} AS avg_arr_delay_min, "
     "min(flight_date) AS min_date, max(flight_date) AS max_date FROM tb_flights"), "reports")
 def q_headline(spark, d):
-    return reports.headline(tb.flights(spark, d))
+    return reports.headline(chain.fact_table(spark, d))
 
 
 @register("yearly_impact", flights_sql(
@@ -86,7 +82,7 @@ def q_headline(spark, d):
     f"{r2(sdiv('count_if(cancelled = 1)', 'count(*)') + ' * 100')} AS cancel_pct "
     "FROM tb_flights GROUP BY 1 ORDER BY 1"), "reports")
 def q_yearly(spark, d):
-    return reports.yearly_impact(tb.flights(spark, d))
+    return reports.yearly_impact(chain.fact_table(spark, d))
 
 
 @register("worst_airports", flights_sql(
@@ -96,7 +92,7 @@ def q_yearly(spark, d):
     f"FROM tb_flights WHERE cancelled = 0 GROUP BY origin HAVING count(*) >= {TESTBED_MIN_FLIGHTS} "
     "ORDER BY avg_arr_delay_min DESC NULLS LAST, origin LIMIT 10"), "reports")
 def q_worst(spark, d):
-    return reports.worst_airports(tb.flights(spark, d), min_flights=TESTBED_MIN_FLIGHTS)
+    return reports.worst_airports(chain.fact_table(spark, d), min_flights=TESTBED_MIN_FLIGHTS)
 
 
 @register("delay_causes_total", flights_sql(
@@ -106,4 +102,4 @@ def q_worst(spark, d):
     "CAST(sum(late_aircraft_delay) AS BIGINT) AS total_late_aircraft_min FROM tb_flights WHERE arr_del15 = 1"),
     "reports")
 def q_causes_total(spark, d):
-    return reports.delay_causes_total(tb.flights(spark, d))
+    return reports.delay_causes_total(chain.fact_table(spark, d))

@@ -42,7 +42,7 @@ _DIGITS = 6
 
 
 def _fact(spark, d):
-    return chain.enriched(spark, d)
+    return chain.fact_table(spark, d)
 
 
 @register("ml_split", cte_sql(
@@ -103,13 +103,10 @@ def q_confusion_long(spark, d):
 
 
 # --- real models on the enriched test-bed table (rows-only checks) -----------
-def _models(spark, d):
+def _models(spark, d, kinds=(models.LOGISTIC, models.BOOSTED)):
     fact = _fact(spark, d)
     train = features.training_set(fact)
-    return fact, train, {
-        models.LOGISTIC: models.fit_or_load(spark, models.LOGISTIC, train, d),
-        models.BOOSTED: models.fit_or_load(spark, models.BOOSTED, train, d),
-    }
+    return fact, train, {k: models.fit_or_load(spark, k, train, d) for k in kinds}
 
 
 def _holdout_scores(spark, d):
@@ -121,13 +118,13 @@ def _holdout_scores(spark, d):
 
 @register("train_logistic", None, "ml")
 def q_train_logistic(spark, d):
-    _, train, ms = _models(spark, d)
+    _, train, ms = _models(spark, d, (models.LOGISTIC,))
     return explain.linear_attribution(ms[models.LOGISTIC], train)
 
 
 @register("train_boosted", None, "ml")
 def q_train_boosted(spark, d):
-    _, _, ms = _models(spark, d)
+    _, _, ms = _models(spark, d, (models.BOOSTED,))
     return explain.tree_importance(spark, ms[models.BOOSTED])
 
 

@@ -24,6 +24,10 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; a fused
+    # stage beyond that would run interpreted.  Above the limit Spark falls back to
+    # per-operator code generation instead (recommended setting for HotSpot JVMs).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -38,6 +42,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); a temporary
+    one is created and registered only when none is configured (local runs, tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = tempfile.mkdtemp(prefix="ontime-ckpt-")
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
@@ -45,12 +59,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     it is read from the session.  Only when it is unset (local runs, tests) is a
     directory of our own created and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="ontime-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
-    return f"{base}/ontime/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_root(spark)}/ontime/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

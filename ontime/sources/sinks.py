@@ -47,6 +47,18 @@ def write_lookup(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     return int(obs.get["rows"])
 
 
+def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` as Parquet into a fresh folder under the shared checkpoint
+    directory and return (the table read back, its row count observed during the
+    write).  Cuts the lineage -- a lost executor re-reads the files instead of
+    recomputing the plan -- and gives a size bound without a second job."""
+    from ontime.session import shared_dir
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    rows = write_lookup(df, path)
+    return spark.read.parquet(path), rows
+
+
 def write_fact(df: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = False,
                cluster_by: tuple[str, ...] = ("reporting_airline", "origin", "dest"),
                max_records_per_file: int | None = None) -> None:
