@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from ontime.functions.columns import count_where, pct
 
-_N = F.count(F.lit(1))
+
+def _n() -> F.Column:
+    return F.count(F.lit(1))
 
 
 def headline(fact: DataFrame) -> DataFrame:
     """A1: one row of totals."""
-    return fact.agg(_N.alias("total_flights"),
+    return fact.agg(_n().alias("total_flights"),
                     count_where(F.col("cancelled") == 1).alias("cancelled"),
                     count_where(F.col("diverted") == 1).alias("diverted"),
                     F.round(F.avg("arr_delay_minutes"), 2).alias("avg_arr_delay_min"),
@@ -23,9 +25,9 @@ def headline(fact: DataFrame) -> DataFrame:
 def yearly_impact(fact: DataFrame) -> DataFrame:
     """A2: per calendar year of the flight date (not the directory year)."""
     return (fact.groupBy(F.year("flight_date").alias("year"))
-            .agg(_N.alias("flights"),
+            .agg(_n().alias("flights"),
                  F.round(F.avg("arr_delay_minutes"), 2).alias("avg_arr_delay_min"),
-                 pct(count_where(F.col("cancelled") == 1), _N).alias("cancel_pct"))
+                 pct(count_where(F.col("cancelled") == 1), _n()).alias("cancel_pct"))
             .orderBy("year"))
 
 
@@ -37,9 +39,9 @@ def worst_airports(fact: DataFrame, min_flights: int = 50_000, top: int = 10) ->
     """
     return (fact.filter(F.col("cancelled") == 0)
             .groupBy("origin")
-            .agg(_N.alias("flights"),
+            .agg(_n().alias("flights"),
                  F.round(F.avg("arr_delay_minutes"), 2).alias("avg_arr_delay_min"),
-                 pct(count_where(F.col("arr_del15") == 1), _N).alias("delay_pct"))
+                 pct(count_where(F.col("arr_del15") == 1), _n()).alias("delay_pct"))
             .filter(F.col("flights") >= min_flights)
             .orderBy(F.col("avg_arr_delay_min").desc_nulls_last(), F.col("origin").asc())
             .limit(top))
@@ -53,9 +55,9 @@ def wind_vs_calm(fact: DataFrame) -> DataFrame:
     """A4: windy vs calm departures (rows without a wind reading excluded)."""
     return (fact.filter(F.col("origin_wdsp").isNotNull())
             .groupBy(wind_category(F.col("origin_wdsp")).alias("wind_cat"))
-            .agg(_N.alias("flights"),
+            .agg(_n().alias("flights"),
                  F.round(F.avg("arr_delay_minutes"), 2).alias("avg_arr_delay_min"),
-                 pct(count_where(F.col("arr_del15") == 1), _N).alias("delay_pct")))
+                 pct(count_where(F.col("arr_del15") == 1), _n()).alias("delay_pct")))
 
 
 def delay_causes_total(fact: DataFrame) -> DataFrame:

@@ -14,8 +14,14 @@ from pyspark.sql import functions as F
 
 from ontime.functions.columns import bucketize, count_where, month_start, pct, safe_divide
 
-_cancelled = F.col("cancelled") == 1
-_on_time = (F.col("arr_del15") == 0) & (F.col("cancelled") == 0)
+
+def _cancelled() -> F.Column:
+    return F.col("cancelled") == 1
+
+
+def _on_time() -> F.Column:
+    """Arrived without a 15-minute delay and not cancelled."""
+    return (F.col("arr_del15") == 0) & (F.col("cancelled") == 0)
 
 
 def monthly_ontime_trend(fact: DataFrame) -> DataFrame:
@@ -23,9 +29,9 @@ def monthly_ontime_trend(fact: DataFrame) -> DataFrame:
     flights, diverted ones (no arrival flag) are in neither bucket."""
     return (fact.groupBy(month_start("flight_date").alias("month"))
             .agg(F.count(F.lit(1)).alias("total_flights"),
-                 count_where(_cancelled).alias("cancelled_flights"),
+                 count_where(_cancelled()).alias("cancelled_flights"),
                  count_where((F.col("arr_del15") == 1) & (F.col("cancelled") == 0)).alias("delayed_flights"),
-                 safe_divide(count_where(_on_time), F.count(F.lit(1))).alias("on_time_rate")))
+                 safe_divide(count_where(_on_time()), F.count(F.lit(1))).alias("on_time_rate")))
 
 
 CAUSES = [("carrier_delay", "carrier_delay_min"), ("weather_delay", "weather_delay_min"),
@@ -58,7 +64,7 @@ def airport_heatmap(fact: DataFrame, airports: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("total_flights"),
                  F.avg("dep_delay_minutes").alias("avg_dep_delay_min"),
                  F.avg("arr_delay_minutes").alias("avg_arr_delay_min"),
-                 safe_divide(count_where(_cancelled), F.count(F.lit(1))).alias("cancellation_rate")))
+                 safe_divide(count_where(_cancelled()), F.count(F.lit(1))).alias("cancellation_rate")))
 
 
 def wind_bucket(x) -> F.Column:
@@ -91,7 +97,7 @@ def weather_correlation(fact: DataFrame) -> DataFrame:
             .groupBy("wind_bucket", "precip_bucket", "visib_bucket")
             .agg(F.count(F.lit(1)).alias("flights"),
                  safe_divide(count_where(F.col("arr_del15") == 1), F.count(F.lit(1))).alias("delay_rate"),
-                 safe_divide(count_where(_cancelled), F.count(F.lit(1))).alias("cancellation_rate")))
+                 safe_divide(count_where(_cancelled()), F.count(F.lit(1))).alias("cancellation_rate")))
 
 
 def airline_kpi(fact: DataFrame) -> DataFrame:
@@ -100,8 +106,8 @@ def airline_kpi(fact: DataFrame) -> DataFrame:
     return (fact.groupBy("reporting_airline")
             .agg(n.alias("flights"),
                  F.round(F.avg("arr_delay_minutes"), 2).alias("avg_arr_delay_min"),
-                 pct(count_where(_on_time), n).alias("on_time_pct"),
-                 pct(count_where(_cancelled), n).alias("cancellation_pct"),
+                 pct(count_where(_on_time()), n).alias("on_time_pct"),
+                 pct(count_where(_cancelled()), n).alias("cancellation_pct"),
                  pct(count_where(F.col("diverted") == 1), n).alias("diversion_pct"))
             .orderBy(F.col("flights").desc(), F.col("reporting_airline").asc()))
 

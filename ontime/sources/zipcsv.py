@@ -58,13 +58,14 @@ def _as_text(col: pa.ChunkedArray | pa.Array) -> pa.Array:
                         pa.string())
 
 
-def _project(batch: pa.RecordBatch | pa.Table, columns: Sequence[str], n: int) -> pa.RecordBatch:
+def _project(batch: pa.RecordBatch | pa.Table, columns: Sequence[str], n: int,
+             present: set[str]) -> pa.RecordBatch:
     arrays = []
     for c in columns:
-        col = _as_text(batch.column(c))
-        if pa.types.is_null(col.type):      # column absent from this member's header
-            col = pa.array([""] * n, pa.string())
-        arrays.append(col)
+        if c in present:
+            arrays.append(_as_text(batch.column(c)))
+        else:                                # column absent from this member's header
+            arrays.append(pa.array([""] * n, pa.string()))
     return pa.RecordBatch.from_arrays(arrays, names=list(columns))
 
 
@@ -119,9 +120,10 @@ def _iter_member_with_header(f, header: list[str], columns: Sequence[str], block
                 include_missing_columns=True, strings_can_be_null=False, quoted_strings_can_be_null=False))
     except pa.ArrowInvalid:     # empty member: no header, no rows
         return
+    present = set(header)
     for batch in reader:
         if batch.num_rows:
-            yield _project(batch, columns, batch.num_rows)
+            yield _project(batch, columns, batch.num_rows, present)
     if bad:
         yield _irregular_rows(bad, header, columns)
 
