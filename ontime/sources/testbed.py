@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ontime.operators.clean import clean_flights
-from ontime.sources.tables import read_table
+from ontime.sources.tables import read_table, spread
 
 
 def _wban(k: str) -> str:
@@ -180,8 +180,8 @@ SCORED = {
 # Spark side
 # ---------------------------------------------------------------------------
 def _lineitem_joined(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    li = spread(read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"), "l_orderkey")
     o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey")
     s = read_table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
     cu = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
@@ -210,13 +210,16 @@ def stations_raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def weather_raw(spark: SparkSession, d: str) -> DataFrame:
-    li = read_table(spark, d, "lineitem")
+    li = spread(read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_discount", "l_shipdate"),
+        "l_orderkey")
     return li.selectExpr(*WEATHER_BASE).selectExpr(*WEATHER_RAW)
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
     """(model_type, label, p) for two fixed scorers over every lineitem."""
-    li = read_table(spark, d, "lineitem")
+    li = spread(read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"), "l_orderkey")
     parts = [li.selectExpr(f"'{name}' AS model_type", *exprs) for name, exprs in SCORED.items()]
     return parts[0].unionByName(parts[1])
 

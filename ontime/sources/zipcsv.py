@@ -216,33 +216,27 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
         import pyarrow.compute as pc
         import pyarrow.fs as pafs
         fs, base = pafs.FileSystem.from_uri(root)
-        groups: dict[tuple[str, str], list[pa.RecordBatch]] = {}
+        groups: dict[tuple[str, str], list[pa.Table]] = {}
         for b in batches:
             t = pa.Table.from_batches([b])
             for key in set(zip(t.column("_y").to_pylist(), t.column("_m").to_pylist())):
                 mask = pc.and_(pc.equal(t.column("_y"), key[0]), pc.equal(t.column("_m"), key[1]))
-                groups.setdefault(key, []).append(t.filter(mask).select(cols).to_batches())
+                groups.setdefault(key, []).append(t.filter(mask).select(cols))
         tag = uuid.uuid4().hex[:12]
         for (y, m), parts in groups.items():
             y_dir = y if y.isdigit() else "unknown"
             m_dir = str(int(m)) if m.isdigit() else "unknown"
-            buf = io.StringIO()
-            w = csv.writer(buf, lineterminator="\n")
-            w.writerow(cols)
-            n = 0
-            for bl in parts:
-                for b in bl:
-                    for row in zip(*[b.column(i).to_pylist() for i in range(len(cols))]):
-                        w.writerow(["" if v is None else v for v in row])
-                        n += 1
+            table = pa.concat_tables(parts)
+            text = io.BytesIO()
+            pacsv.write_csv(table, text)          # header + rows; NULL -> empty field
             zbuf = io.BytesIO()
             with zipfile.ZipFile(zbuf, "w", zipfile.ZIP_DEFLATED) as zf:
-                zf.writestr(f"flights_{y_dir}_{m_dir}_{tag}.csv", buf.getvalue())
+                zf.writestr(f"flights_{y_dir}_{m_dir}_{tag}.csv", text.getvalue())
             path = f"{base}/year={y_dir}/month={m_dir}/part-{tag}.zip"
             fs.create_dir(f"{base}/year={y_dir}/month={m_dir}", recursive=True)
             with fs.open_output_stream(path) as f:
                 f.write(zbuf.getvalue())
-            yield pa.RecordBatch.from_pylist([{"path": path, "rows": n}],
+            yield pa.RecordBatch.from_pylist([{"path": path, "rows": table.num_rows}],
                                              schema=pa.schema([("path", pa.string()), ("rows", pa.int64())]))
 
     return keyed.mapInArrow(run, out_schema)
