@@ -43,22 +43,37 @@ def weather_for_mapped(weather: DataFrame, mapping: DataFrame, mapping_rows: int
     return dedupe_weather(w)
 
 
+NULL_SALTS = 4096
+
+
+def _salted(station: str) -> F.Column:
+    """Join key for the shuffle path: flights without a station (possibly a large
+    share of all rows) get a key that can never match a station id (the prefix is
+    not a valid id) and is spread by a hash of the row, instead of all landing on
+    the (NULL, date) partitions."""
+    salt = F.pmod(F.xxhash64("flight_date", "reporting_airline", "flight_number", "origin", "dest",
+                             "crs_dep_time", "tail_number"), F.lit(NULL_SALTS))
+    return F.coalesce(F.col(station), F.concat(F.lit("\u0000null-"), salt.cast("string")))
+
+
 def join_weather(flights_with_stations: DataFrame, weather_dedup: DataFrame, weather_rows: int | None = None,
                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Left-join the day's weather at both ends; columns prefixed by role."""
     wx = weather_dedup
-    if weather_rows is not None and weather_rows <= max_broadcast_rows:
+    small = weather_rows is not None and weather_rows <= max_broadcast_rows
+    if small:
         wx = F.broadcast(wx)
 
     def side(role: str) -> DataFrame:
         return wx.select(
-            F.col("station_id").alias(f"{role}_station"), F.col("weather_date").alias("flight_date"),
+            F.col("station_id").alias(f"_{role}_key"), F.col("weather_date").alias("flight_date"),
             *[F.col(c).alias(f"{role}_{c}") for c in ENRICH_WEATHER])
 
-    out = (flights_with_stations
-           .join(side("origin"), ["origin_station", "flight_date"], "left")
-           .join(side("dest"), ["dest_station", "flight_date"], "left"))
-    return out.select(*ENRICHED_COLUMNS)
+    f = flights_with_stations
+    for role in ("origin", "dest"):
+        key = F.col(f"{role}_station") if small else _salted(f"{role}_station")
+        f = f.withColumn(f"_{role}_key", key).join(side(role), [f"_{role}_key", "flight_date"], "left")
+    return f.select(*ENRICHED_COLUMNS)
 
 
 def enrich(flights: DataFrame, mapping: DataFrame, weather: DataFrame,

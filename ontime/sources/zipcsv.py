@@ -203,6 +203,8 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
 
     Runs where the rows are (``mapInArrow``, no shuffle); files go through pyarrow's
     filesystem layer, so ``root`` may be any URI the cluster's storage understands.
+    File names depend only on the input partition, so re-running a lost task is
+    idempotent.
     Returns one row per archive written (path, rows) -- lazily; count it to write.
     """
     cols = list(columns)
@@ -211,9 +213,8 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
                       F.coalesce(F.substring(date_col, 6, 2), F.lit("")).alias("_m"))
 
     def run(batches):
-        import uuid
-
         import pyarrow.compute as pc
+        from pyspark import TaskContext
         import pyarrow.fs as pafs
         fs, base = pafs.FileSystem.from_uri(root)
         groups: dict[tuple[str, str], list[pa.Table]] = {}
@@ -222,7 +223,9 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
             for key in set(zip(t.column("_y").to_pylist(), t.column("_m").to_pylist())):
                 mask = pc.and_(pc.equal(t.column("_y"), key[0]), pc.equal(t.column("_m"), key[1]))
                 groups.setdefault(key, []).append(t.filter(mask).select(cols))
-        tag = uuid.uuid4().hex[:12]
+        # deterministic name per input partition, written under a temporary name and
+        # renamed: a retried or speculative task replaces the file instead of adding a copy
+        tag = f"{TaskContext.get().partitionId():05d}"
         for (y, m), parts in groups.items():
             y_dir = y if y.isdigit() else "unknown"
             m_dir = str(int(m)) if m.isdigit() else "unknown"
@@ -234,8 +237,10 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
                 zf.writestr(f"flights_{y_dir}_{m_dir}_{tag}.csv", text.getvalue())
             path = f"{base}/year={y_dir}/month={m_dir}/part-{tag}.zip"
             fs.create_dir(f"{base}/year={y_dir}/month={m_dir}", recursive=True)
-            with fs.open_output_stream(path) as f:
+            tmp = f"{path}.{TaskContext.get().attemptNumber()}.tmp"
+            with fs.open_output_stream(tmp) as f:
                 f.write(zbuf.getvalue())
+            fs.move(tmp, path)
             yield pa.RecordBatch.from_pylist([{"path": path, "rows": table.num_rows}],
                                              schema=pa.schema([("path", pa.string()), ("rows", pa.int64())]))
 

@@ -59,3 +59,23 @@ def test_enrich_keeps_every_flight(spark):
     assert (rows[0].origin_station, rows[0].origin_wdsp, rows[0].dest_wdsp) == ("10001", 7.0, 3.0)
     assert (rows[1].origin_station, rows[1].origin_wdsp, rows[1].dest_wdsp) == (None, None, 7.0)  # CCC unmapped
     assert rows[2].origin_wdsp is None                      # no reading that day
+
+
+def test_shuffle_path_equals_broadcast_path(spark):
+    from ontime.plans import chain
+    d = "/root/testdata/sf0.001"
+    from ontime.sources import testbed as tb
+    args = (tb.flights(spark, d), chain.mapping(spark, d), chain.weather(spark, d))
+    a = enrich(*args)
+    ra = sorted(map(tuple, a.collect()), key=str)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = enrich(*args, max_broadcast_rows=0)        # forces the salted shuffle joins
+        rb = sorted(map(tuple, b.collect()), key=str)
+        plan = b._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert len(ra) == len(rb) > 0 and ra == rb
+    assert any(r.origin_station is None for r in a.collect())   # unmatched airports exist
