@@ -152,3 +152,38 @@ def q_model_confusion(spark, d):
 def q_feature_importance(spark, d):
     _, train, ms = _models(spark, d)
     return explain.feature_importance(spark, ms, train)
+
+
+# --- M10 on a fixed linear model: exact attribution checked against SQL ------
+# Weights of the check (a rule, not fitted): airline C<k> -> 0.1k - 0.5, airport
+# A<n> -> 0.02n - 0.2 (origin and dest), fixed numeric weights; unknown category -> 0;
+# missing numerics imputed with the training mean.
+_W_CAT = {"reporting_airline": {f"C{k}": 0.1 * k - 0.5 for k in range(12)},
+          "origin": {f"A{n}": 0.02 * n - 0.2 for n in range(25)},
+          "dest": {f"A{n}": 0.02 * n - 0.2 for n in range(25)}}
+_W_NUM = {"dep_hour": 0.05, "day_of_week": -0.1, "month": 0.02, "distance": 0.001, "wind_speed": 0.04,
+          "precipitation": 0.8, "visibility": -0.05, "temperature": 0.01}
+
+
+def _dbl(v: float) -> str:
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+register_cte("tb_la_means", "SELECT " + ", ".join(f"avg(CAST({f} AS DOUBLE)) AS {f}" for f in _W_NUM)
+             + " FROM tb_train", ["tb_train"])
+register_cte("tb_la_terms", "SELECT " + ", ".join(
+    [f"CASE t.{f} " + " ".join(f"WHEN '{k}' THEN {_dbl(v)}" for k, v in m.items()) + f" ELSE 0.0 END AS {f}"
+     for f, m in _W_CAT.items()]
+    + [f"{_dbl(w)} * coalesce(CAST(t.{f} AS DOUBLE), m.{f}) AS {f}" for f, w in _W_NUM.items()])
+    + " FROM tb_train t CROSS JOIN tb_la_means m", ["tb_train", "tb_la_means"])
+
+
+@register("linear_attribution", cte_sql(" UNION ALL ".join(
+    f"SELECT '{f}' AS feature, {r2(f'avg(abs({f} - (SELECT avg({f}) FROM tb_la_terms)))', _DIGITS)} AS attribution "
+    "FROM tb_la_terms" for f in list(_W_CAT) + list(_W_NUM)), "tb_la_terms"), "ml")
+def q_linear_attribution(spark, d):
+    train = features.training_set(_fact(spark, d))
+    means = train.agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in _W_NUM]).first()   # 8 values
+    impute = {f: means[f] for f in _W_NUM if means[f] is not None}
+    a = explain.attribution(train, explain.linear_terms(_W_NUM, _W_CAT, impute))
+    return a.select("feature", F.round("attribution", _DIGITS).alias("attribution"))
