@@ -70,3 +70,14 @@ def q_incremental_ingest(spark, d):
     ingest_new_archives(spark, root, out, ckpt)
     ingest_new_archives(spark, root, out, ckpt)   # a re-run finds nothing new
     return read_ingested(spark, out)
+
+
+@register("archive_totals", cte_sql(
+    "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS corrupt_archives FROM tb_raw_flights",
+    "tb_raw_flights"), "io")
+def q_archive_totals(spark, d):
+    """S3 totals: every rendered flight is read back from some archive; none is corrupt."""
+    from pyspark.sql import functions as F
+    st = zipcsv.archive_status(spark, _archives(spark, d))
+    return st.agg(F.sum("rows").cast("bigint").alias("rows"),
+                  F.count_if(F.col("error").isNotNull()).alias("corrupt_archives"))

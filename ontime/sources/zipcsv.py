@@ -197,6 +197,12 @@ def archive_status(spark: SparkSession, root: str, glob: str = "*.zip") -> DataF
 # ---------------------------------------------------------------------------
 # writer (test bed): Spark rows -> year=Y/month=M/part-<task>.zip, one CSV each
 # ---------------------------------------------------------------------------
+def _dirs(y: str, m: str) -> tuple[str, str]:
+    """Directory names of a (year, month) text pair; anything malformed -> 'unknown'.
+    Rows are grouped by these names, so one file per directory and task."""
+    return (y if len(y) == 4 and y.isdigit() else "unknown", str(int(m)) if m.isdigit() else "unknown")
+
+
 def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_COLUMNS,
                        date_col: str = "FlightDate") -> DataFrame:
     """Write each partition's rows as one archive per (year, month) directory.
@@ -222,13 +228,11 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
             t = pa.Table.from_batches([b])
             for key in set(zip(t.column("_y").to_pylist(), t.column("_m").to_pylist())):
                 mask = pc.and_(pc.equal(t.column("_y"), key[0]), pc.equal(t.column("_m"), key[1]))
-                groups.setdefault(key, []).append(t.filter(mask).select(cols))
+                groups.setdefault(_dirs(*key), []).append(t.filter(mask).select(cols))
         # deterministic name per input partition, written under a temporary name and
         # renamed: a retried or speculative task replaces the file instead of adding a copy
         tag = f"{TaskContext.get().partitionId():05d}"
-        for (y, m), parts in groups.items():
-            y_dir = y if y.isdigit() else "unknown"
-            m_dir = str(int(m)) if m.isdigit() else "unknown"
+        for (y_dir, m_dir), parts in groups.items():
             table = pa.concat_tables(parts)
             text = io.BytesIO()
             pacsv.write_csv(table, text)          # header + rows; NULL -> empty field

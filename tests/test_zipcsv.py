@@ -37,3 +37,12 @@ def test_writer_round_trip(spark, scratch):
     assert sum(r.rows for r in written) == 3
     back = sorted(tuple(r) for r in zipcsv.read_zip_csv(spark, scratch, ["FlightDate", "Reporting_Airline"]).collect())
     assert back == sorted([("2019-01-05", "AA"), ("2019-02-01", ""), ("", "BB")])
+
+
+def test_writer_keeps_rows_with_malformed_dates(spark, scratch):
+    # two different malformed months of one year land in the same 'unknown' directory
+    rows = [("2019-1-5", "AA"), ("2019-2-7", "BB"), ("2019-03-01", "CC"), ("", "DD"), ("x", "EE")]
+    df = spark.createDataFrame(rows, "FlightDate string, Reporting_Airline string").coalesce(1)
+    written = zipcsv.write_zip_archives(df, scratch, ["FlightDate", "Reporting_Airline"]).collect()
+    assert sum(r.rows for r in written) == 5
+    assert zipcsv.read_zip_csv(spark, scratch, ["FlightDate", "Reporting_Airline"]).count() == 5
