@@ -187,3 +187,12 @@ def q_linear_attribution(spark, d):
     impute = {f: means[f] for f in _W_NUM if means[f] is not None}
     a = explain.attribution(train, explain.linear_terms(_W_NUM, _W_CAT, impute))
     return a.select("feature", F.round("attribution", _DIGITS).alias("attribution"))
+
+
+@register("permutation_importance", None, "ml")
+def q_permutation_importance(spark, d):
+    """M10, model-agnostic: AUC drop per permuted feature for the boosted model on the hold-out year."""
+    fact, _, ms = _models(spark, d, (models.BOOSTED,))
+    pi = explain.permutation_importance(ms[models.BOOSTED], features.holdout_set(fact))
+    return pi.select(F.lit(models.BOOSTED).alias("model_type"), "feature",
+                     F.round("attribution", 5).alias("attribution"))
