@@ -110,10 +110,14 @@ def _models(spark, d, kinds=(models.LOGISTIC, models.BOOSTED)):
 
 
 def _holdout_scores(spark, d):
-    fact, _, ms = _models(spark, d)
-    hold = features.holdout_set(fact)
-    parts = [models.score(m, hold, kind) for kind, m in ms.items()]
-    return parts[0].unionByName(parts[1])
+    """Both models' hold-out scores, written once per application (the evaluation
+    aggregates read them several times; scoring runs once)."""
+    def build():
+        fact, _, ms = _models(spark, d)
+        hold = features.holdout_set(fact)
+        parts = [models.score(m, hold, kind) for kind, m in ms.items()]
+        return parts[0].unionByName(parts[1])
+    return chain.staged(spark, d, "holdout_scores", build)
 
 
 @register("train_logistic", None, "ml")
