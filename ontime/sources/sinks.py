@@ -11,7 +11,6 @@ instead of one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.schema import CLEAN_COLUMNS, ENRICHED_COLUMNS, clean_schema
