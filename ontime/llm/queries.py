@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import packing
+from ontime.llm import chat, language, packing, toxicity, urls
+from ontime.llm.sampling import remainder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,32 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = toxicity.fit(docs, labels.where(remainder("doc_id", 5) != 0))
+    return toxicity.score(docs, weights).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                                                "predicted")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), urls.fit(spark))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.format_turns(rows))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(remainder("doc_id", 3) != 1))
+    return language.predict(docs, model).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"),
+                                                "lang_pred", "score")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), word_bpe())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
@@ -26,7 +53,31 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_url_filter": op2_url_filter,
+    "op6_chat_format": op6_chat_format,
+    "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
 }
 
-ORACLES: dict[str, str] = {}
+_OP6 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), formatted AS (
+  SELECT *, '### ' || replace(replace(replace(replace(role, '\', '\\'), '#', '\#'), '<', '\<'), chr(10), '\' || chr(10))
+    || chr(10) || replace(replace(replace(text, '\', '\\'), '#', '\#'), '<', '\<') || '</turn>' || chr(10) AS f
+  FROM turns
+)
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, f)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, f) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(f)) AS BIGINT) AS formatted_chars
+FROM formatted GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_chat_format": _OP6,
+}
