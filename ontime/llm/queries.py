@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import chat, language, packing, toxicity, urls
+from ontime.llm import chat, hpylm, language, packing, toxicity, urls
 from ontime.llm.sampling import remainder
 
 
@@ -31,6 +31,13 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), urls.fit(spark))
 
 
+def op3_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    scored = hpylm.score(docs, hpylm.fit(docs.where(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -55,6 +62,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
+    "op3_hpylm": op3_hpylm,
     "op6_chat_format": op6_chat_format,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,

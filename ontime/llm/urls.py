@@ -90,7 +90,8 @@ def featurize(pages: DataFrame) -> DataFrame:
 def fit(spark: SparkSession, labelled: DataFrame | None = None) -> LogisticRegressionModel:
     """Learn from ``labelled`` (url, label 0/1); by default the table of this module."""
     if labelled is None:
-        labelled = spark.createDataFrame(labelled_urls(), "url string, label double")
+        rows = ", ".join(f"('{url}', {label}D)" for url, label in labelled_urls())
+        labelled = spark.sql(f"SELECT * FROM VALUES {rows} AS t (url, label)")
     return LogisticRegression(regParam=0.02, maxIter=100).fit(featurize(labelled).coalesce(1))
 
 
