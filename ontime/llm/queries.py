@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import chat, hpylm, language, packing, toxicity, urls
+from ontime.llm import chat, decontaminate, hpylm, language, packing, substrings, toxicity, urls
 from ontime.llm.sampling import remainder
 
 
@@ -38,6 +38,10 @@ def op3_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
@@ -59,13 +63,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset", "sequence_tokens", "loss_tokens")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
     "op3_hpylm": op3_hpylm,
+    "op5_decontaminate": op5_decontaminate,
     "op6_chat_format": op6_chat_format,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _OP6 = r"""
