@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import chat, decontaminate, hpylm, language, packing, substrings, toxicity, urls
+from ontime.llm import (chat, decontaminate, embeddings, hpylm, language, packing, shingles, substrings,
+                        toxicity, urls)
 from ontime.llm.sampling import remainder
 
 
@@ -38,6 +39,10 @@ def op3_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingles.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -50,6 +55,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_turns(rows))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(remainder("doc_id", 3) != 1))
@@ -72,8 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filter": op2_url_filter,
     "op3_hpylm": op3_hpylm,
+    "op4_ngram_join": op4_ngram_join,
     "op5_decontaminate": op5_decontaminate,
     "op6_chat_format": op6_chat_format,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
