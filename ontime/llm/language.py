@@ -190,3 +190,19 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     if not model.families:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     return rows.mapInArrow(task, "doc_id long, lang_pred string, score double")
+
+
+def identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
+    """The rows of ``docs`` (text, ...), all columns, whose text is in a language with a score of at
+    least ``least``; ``und`` is none."""
+    if not model.families:
+        return docs.limit(0)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tx.slices(batches, "text"):
+            keep = part.column("__llm_letter").to_numpy(zero_copy_only=False).copy()
+            keep &= decide(model, part.column("text"))[1] >= least
+            yield part.drop_columns(["__llm_letter"]).filter(pa.array(keep))
+
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn("__llm_letter", letter).mapInArrow(task, docs.schema)

@@ -33,7 +33,7 @@ from ontime.llm.links import Union, components
 from ontime.session import shared_dir
 
 GRAM, THRESHOLD = 5, 0.8
-TREES, DEEPEST, RECALL = 16, 8, 0.999
+TREES, DEEPEST, RECALL = 20, 8, 0.9999
 CHUNK = 256
 _CELLS = 1 << 22  # of a 0/1 matrix at a time
 
@@ -203,7 +203,7 @@ def _classes(docs: DataFrame, threshold: float, trees: int, recall: float, chunk
     keys = [f"k{t}" for t in range(trees)]
     # values of equal sets are equal: the least stands for any
     nodes = staged(signed.where("set IS NOT NULL").groupBy("set").agg(
-        F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.min_by("th", F.coalesce("doc_id", F.lit(0))).alias("th"),
+        F.count("*").alias("copies"), F.min("doc_id").alias("doc_id"), F.min_by("th", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("th"),
         *(F.min(k).alias(k) for k in keys)), "nodes")
     members = nodes.select("set", F.posexplode(F.array(*keys)).alias("tree", "key"))
     groups = members.groupBy("tree", "key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("set")).alias("who")).where("n > 1")
@@ -230,10 +230,19 @@ def _classes(docs: DataFrame, threshold: float, trees: int, recall: float, chunk
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (doc_id, text, ...) without the rows whose class has a lesser doc_id; of repeated rows
-    that are the least of their class one stays.  Texts without a word all stay."""
-    classes = _classes(docs, threshold, TREES, RECALL, CHUNK)
-    kept = classes.where("class_id IS NULL OR doc_id = class_id OR doc_id IS NULL AND class_id IS NULL").select(
-        F.col("doc_id").alias("_id"), F.col("th").alias("_th"), F.col("set").alias("_set")).distinct()
-    rows = docs.withColumn("_key", F.xxhash64("text"))
-    one = rows.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th")))
-    return one.drop("_key", "_id", "_th", "_set")
+    that are the least of their class one stays.  Texts without a word all stay, and so do rows with
+    a null doc_id of which no copy has an id."""
+    spark = docs.sparkSession
+    folder = shared_dir(spark, "shingles-kept")
+    (_classes(docs, threshold, TREES, RECALL, CHUNK).where("class_id IS NULL OR doc_id = class_id")
+     .groupBy("doc_id", "th").agg(F.when(F.max("set").isNull(), 1).otherwise(F.count("*")).alias("rows"))
+     .select(F.col("doc_id").alias("__llm_id"), F.col("th").alias("__llm_th"), F.col("rows").alias("__llm_rows"))
+     .write.parquet(folder))
+    kept = spark.read.parquet(folder)
+    rows = docs.withColumn("__llm_key", F.xxhash64("text"))
+    out = rows.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("__llm_id"))
+                    & (F.col("__llm_key") == F.col("__llm_th")))
+    if not kept.where("__llm_rows > 1").isEmpty():
+        again = out.where("__llm_rows > 1 AND doc_id IS NOT NULL").dropDuplicates(["doc_id", "__llm_key"])
+        out = out.where("__llm_rows = 1 OR doc_id IS NULL").unionByName(again)
+    return out.drop("__llm_key", "__llm_id", "__llm_th", "__llm_rows")

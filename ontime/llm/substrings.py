@@ -266,9 +266,9 @@ def _without(docs: DataFrame, spans: DataFrame, n: int) -> DataFrame:
     fields = [docs.schema[c] for c in names]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, "_text"):
+        for part in tx.slices(batches, "__llm_text"):
             texts, sizes, gone = [], [], []
-            for text, found in zip(part.column("_text").to_pylist(), part.column("_spans").to_pylist()):
+            for text, found in zip(part.column("__llm_text").to_pylist(), part.column("__llm_spans").to_pylist()):
                 words = (text or "").encode().split()
                 keep = np.ones(len(words), bool)
                 for span in found or ():
@@ -288,6 +288,6 @@ def _without(docs: DataFrame, spans: DataFrame, n: int) -> DataFrame:
     from pyspark.sql.types import LongType, StructField, StructType
 
     schema = StructType([*fields, StructField("n_words", LongType()), StructField("n_removed", LongType())])
-    rows = docs.select(*names, F.col("text").alias("_text"), F.xxhash64("doc_id", "text").alias("_key"))
-    spans = spans.select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
-    return rows.join(spans.hint("shuffle_hash"), "_key", "left").mapInArrow(task, schema)
+    rows = docs.select(*names, F.col("text").alias("__llm_text"), F.xxhash64("doc_id", "text").alias("__llm_key"))
+    spans = spans.select(F.col("key").alias("__llm_key"), F.col("spans").alias("__llm_spans"))
+    return rows.join(spans.hint("shuffle_hash"), "__llm_key", "left").mapInArrow(task, schema)
