@@ -41,14 +41,12 @@ def pieces_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Like ``text.words``, also cut between an ASCII letter and one of ``.,!?;:``: the tokenizer's
     pre-tokenizer cuts there and at white space in any case, so the ids of the parts joined are
     those of the whole text."""
-    starts, ends, _ = tx.words(data, off)
-    letter, mark = _LETTER[data], _MARK[data]
-    cut = np.zeros(len(data) + 1, bool)
-    cut[1:-1] = (letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1])
-    more = np.flatnonzero(cut)
-    more = more[~np.isin(more, off)] if len(more) else more
-    starts, ends = np.union1d(starts, more), np.union1d(ends, more)
-    return starts, ends, np.searchsorted(starts, off)
+    inside, letter, mark = ~tx.SPACE[data], _LETTER[data], _MARK[data]
+    cut = np.zeros(len(data) + 1, bool)  # before this byte
+    cut[1:-1] = (letter[1:] & mark[:-1]) | (mark[1:] & letter[:-1]) | ~inside[:-1] | ~inside[1:]
+    cut[off] = True
+    starts = np.flatnonzero(inside & cut[:-1])
+    return starts, np.flatnonzero(inside & cut[1:]) + 1, np.searchsorted(starts, off)
 
 
 class Encoder:
@@ -143,50 +141,50 @@ class Packer:
             offset += len(ids)
         self.next_id += 1
 
-    def cut(self, k: int, length: int) -> tuple:
-        """The head of waiting piece ``k``; its tail goes on waiting."""
-        doc, doc_tokens, start, ids, loss_from = self.waiting[k]
-        self.waiting[k] = (doc, doc_tokens, start + length, ids[length:], loss_from)
-        return doc, doc_tokens, start, ids[:length], loss_from
-
-    def fill(self, tokens: int) -> list[tuple]:
-        """The members of one bin of ``tokens`` tokens."""
+    def run(self, at_most: int, least: int | None = None) -> None:
+        """Fill whole bins until at most ``at_most`` pieces, or fewer than ``least`` tokens (by default
+        less than a bin), are waiting."""
+        need = np.array([(len(w[3]), 1, self.loss_of(w[2], len(w[3]), w[4])) for w in self.waiting], np.float64).reshape(-1, 3)
+        free = np.ones(len(need), bool)
+        waiting, tokens, least = len(need), int(need[:, 0].sum()), least or self.tokens
+        while waiting > at_most and tokens >= least:
+            members = self.fill(min(self.tokens, 1 << (tokens.bit_length() - 1)) if tokens < self.tokens else self.tokens, need, free)
+            waiting, tokens = int(free.sum()), tokens - sum(len(m[3]) for m in members)
+            self.close(members)
+        self.waiting = [self.waiting[k] for k in np.flatnonzero(free).tolist()]
+
+    def fill(self, tokens: int, need: np.ndarray, free: np.ndarray) -> list[tuple]:
+        """The members of one bin of ``tokens`` tokens; ``need`` and ``free`` are of the waiting pieces."""
         limits = self.limits.copy()
         limits[0] = tokens
-        need = np.array([(len(w[3]), 1, self.loss_of(w[2], len(w[3]), w[4])) for w in self.waiting], np.float64)
-        share, left = need / limits, np.ones(3)
-        free, members = np.ones(len(need), bool), []
+        at = np.flatnonzero(free)
+        share, left, members = need[at] / limits, np.ones(3), []
         while True:
-            fits = np.flatnonzero(free & (share <= left + 1e-9).all(axis=1))
+            fits = np.flatnonzero((share <= left + 1e-9).all(axis=1))
             if not len(fits):
                 break
             k = int(fits[np.argmax(share[fits] @ left)])
-            members.append(self.waiting[k])
-            free[k] = False
+            members.append(self.waiting[at[k]])
+            free[at[k]] = False
             left = left - share[k]
+            share[k] = 2  # fits nowhere
         rest, loss = round(left[0] * limits[0]), round(left[2] * limits[2])
-        if rest and round(left[1] * limits[1]) and free.any():
-            for k in np.flatnonzero(free)[np.argsort(need[free, 0], kind="stable")]:
-                _, _, start, ids, loss_from = self.waiting[k]
+        if rest and round(left[1] * limits[1]):
+            # the head of the shortest piece that can fill the rest; its tail goes on waiting
+            at = np.flatnonzero(free)
+            for k in at[np.argsort(need[at, 0], kind="stable")].tolist():
+                doc, doc_tokens, start, ids, loss_from = self.waiting[k]
                 take = min(rest, len(ids) - 1, max(loss_from - start, 0) + loss)
                 if take > 0:
-                    members.append(self.cut(int(k), take))
+                    members.append((doc, doc_tokens, start, ids[:take], loss_from))
+                    self.waiting[k] = (doc, doc_tokens, start + take, ids[take:], loss_from)
+                    need[k] = len(ids) - take, 1, self.loss_of(start + take, len(ids) - take, loss_from)
                     break
-        self.waiting = [w for w, f in zip(self.waiting, free.tolist()) if f]
         return members
 
-    def run(self, at_most: int) -> None:
-        """Fill whole bins until at most ``at_most`` pieces, or less than a bin, are waiting."""
-        while len(self.waiting) > at_most and sum(len(w[3]) for w in self.waiting) >= self.tokens:
-            self.close(self.fill(self.tokens))
-
     def finish(self) -> None:
         """Pack all that waits; the rest of less than a bin goes into lengths of powers of two."""
-        self.run(0)
-        while self.waiting:
-            rest = sum(len(w[3]) for w in self.waiting)
-            size = min(self.tokens, 1 << (rest.bit_length() - 1))
-            self.close(self.fill(size))
+        self.run(0, 1)
 
     def batch(self, schema: pa.Schema) -> pa.RecordBatch:
         out, self.out = self.out, []
