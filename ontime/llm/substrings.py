@@ -244,7 +244,10 @@ def remove_repeated(docs: DataFrame, n: int = WORDS, shard: int = SHARD) -> Data
     folder = shared_dir(spark, "segments")
     _occurrences(keyed, n).write.parquet(folder)
     found = spark.read.parquet(folder)
-    often = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # staged, so that the join reads both sides from plain exchanges and Spark can split a hot anchor
+    often_at = shared_dir(spark, "anchors")
+    found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").write.parquet(often_at)
+    often = spark.read.parquet(often_at)
     hits_at = shared_dir(spark, "segments-repeated")
     found.join(often, "anchor").write.parquet(hits_at)
     hits = spark.read.parquet(hits_at)
