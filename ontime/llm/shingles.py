@@ -222,7 +222,7 @@ def _classes(docs: DataFrame, threshold: float, trees: int, recall: float, chunk
     connected = components(found.select(F.col("set").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "set")
     classed = (nodes.select("set", "copies", "doc_id").join(links, "set", "left").join(connected, "set", "left")
                .withColumn("component", F.coalesce("component", "set")))
-    least = classed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    least = staged(classed.groupBy("component").agg(F.min("doc_id").alias("class_id")), "least")
     classed = staged(classed.join(least, "component").select(
         "set", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")), "classes")
     return signed.select("doc_id", "th", "set").join(classed, "set", "left")
