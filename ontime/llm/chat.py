@@ -5,9 +5,9 @@ Template of a turn::
     ### <role>
     <text></turn>
 
-Inside roles and texts each ``\``, ``#`` and ``<`` (in roles also a line feed) gets a ``\`` before it,
-so neither control string (``###``, ``</turn>``) can occur in them, and dropping one ``\`` before
-each escaped character restores them.  The loss mask covers the texts of assistant turns.
+Inside roles and texts ``\`` is written ``\\``, ``#`` is ``\#`` and ``<`` is ``\l`` (in roles a line
+feed is ``\n``), so neither control string (``###``, ``</turn>``) can occur in them, and undoing the
+escapes restores them.  The loss mask covers the texts of assistant turns.
 
 For each batch numpy computes the byte lengths of all headers, contents and ends, their cumulative
 offsets and, from these, the index at which each byte of a segment lands; headers and contents are
@@ -40,7 +40,12 @@ _ESCAPED = np.zeros(256, bool)
 _ESCAPED[[ord(c) for c in "\\#<"]] = True
 _ESCAPED_IN_ROLE = _ESCAPED.copy()
 _ESCAPED_IN_ROLE[ord("\n")] = True
-_HEADER = re.compile(rb"### ((?:[^\\\n]|\\[\s\S])*)\n")
+#: What follows the mark of an escaped byte.
+_SPELT = np.arange(256, dtype=np.uint8)
+_SPELT[[ord("<"), ord("\n")]] = [ord("l"), ord("n")]
+_MEANT = np.arange(256, dtype=np.uint8)
+_MEANT[[ord("l"), ord("n")]] = [ord("<"), ord("\n")]
+_HEADER = re.compile(rb"### ([^\n]*)\n")
 
 
 def _escape(data: np.ndarray, off: np.ndarray, escaped: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +54,7 @@ def _escape(data: np.ndarray, off: np.ndarray, escaped: np.ndarray) -> tuple[np.
     before = np.zeros(len(data) + 1, np.int64)
     np.cumsum(marked, out=before[1:])
     out = np.full(len(data) + before[-1], ord("\\"), np.uint8)
-    out[np.arange(len(data)) + before[1:]] = data  # its own mark comes before a byte
+    out[np.arange(len(data)) + before[1:]] = np.where(marked, _SPELT[data], data)  # its own mark comes before a byte
     return out, off + before[off]
 
 
@@ -92,7 +97,7 @@ def format_turns(conversations: DataFrame) -> DataFrame:
 
 
 def unescape(data: bytes) -> bytes:
-    """Drop the ``\\`` before each escaped byte."""
+    """Undo the escapes."""
     raw = np.frombuffer(data, np.uint8)
     slash = np.flatnonzero(raw == ord("\\"))
     if not len(slash):
@@ -103,7 +108,9 @@ def unescape(data: bytes) -> bytes:
     mark = (np.arange(len(slash)) - first[run]) % 2 == 0
     keep = np.ones(len(raw), bool)
     keep[slash[mark]] = False
-    return raw[keep].tobytes()
+    out = raw.copy()
+    out[slash[mark] + 1] = _MEANT[raw[slash[mark] + 1]]
+    return out[keep].tobytes()
 
 
 def read_turn(formatted: bytes) -> tuple[bytes, bytes]:
