@@ -43,15 +43,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); a temporary
-    one is created and registered only when none is configured (local runs, tests)."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).  A temporary one
+    is created and registered only when none is configured and the master is local (tests);
+    on a cluster executors would not see it, so that raises."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not _is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ontime-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def _is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
@@ -63,9 +70,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint()`` usable: register the configured dir, or a
-    temporary one when nothing is configured (local runs only)."""
-    if spark.sparkContext.getCheckpointDir():
-        return
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ontime-ckpt-")
-    spark.sparkContext.setCheckpointDir(base)
+    """Make ``DataFrame.checkpoint()`` usable: register the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        root = shared_root(spark)
+        spark.sparkContext.setCheckpointDir(root)

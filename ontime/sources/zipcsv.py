@@ -4,19 +4,26 @@ output (S3), plus the archive writer the test bed uses to produce inputs.
 Scan: ``binaryFile`` lists the archives (glob ``*.zip``, recursive, no partition
 inference -- year and month come from the flight date, not the path) and reads each
 one into a single row; ``mapInArrow`` then streams every CSV member of every archive
-through pyarrow's CSV reader in bounded record batches, keeping only the requested
-columns.  One archive is one unit of work, so parallelism = number of archives and a
-task's memory is one archive plus one batch.  Binary files are never split, and
-Spark packs small ones into a partition up to ``spark.sql.files.maxPartitionBytes``.
+in bounded record batches, keeping only the requested columns.  One archive is one unit
+of work, so parallelism = number of archives.  Binary files are never split; Spark packs
+small ones into a partition up to ``spark.sql.files.maxPartitionBytes``, and a task holds
+the archives of one Arrow batch plus one block of lines.
 
 Row semantics (those of a header-driven ``csv.DictReader``):
 * members not ending in ``.csv`` (any case) are ignored; every CSV member is read;
-* a requested column missing from a member's header is '' on every row;
+* a requested column missing from a member's header is '' on every row; of duplicate
+  header names the last one wins;
 * a row shorter than the header gives NULL for the missing trailing fields; extra
   fields are ignored; blank lines are skipped;
 * invalid UTF-8 is replaced by U+FFFD;
-* an archive that is not a readable ZIP yields no rows (rows already yielded from
-  it stay); ``archive_status`` reports it.
+* a fault (not a ZIP, bad checksum, truncation, encryption, unknown compression, a field
+  beyond the csv module's limit) ends its archive: all complete rows before it are kept,
+  and ``archive_status`` names it.  A quote that is never closed takes the rest of its
+  member into its field, as the csv module does, and is named too.
+
+A member is read in chunks of 64 KiB and parsed in blocks of whole lines: by pyarrow
+while every line of a block closes its quotes, by the csv module from the first block
+in which one does not.
 """
 
 from __future__ import annotations
@@ -27,6 +34,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.csv as pacsv
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +43,10 @@ from pyspark.sql import types as T
 
 from ontime.schema import RAW_COLUMNS
 
-BATCH_BYTES = 8 << 20
-_CORRUPT = (zipfile.BadZipFile, zlib.error, EOFError)
+CHUNK_BYTES, BLOCK_BYTES, BATCH_ROWS = 64 << 10, 4 << 20, 50_000
+#: Larger files do not fit the binary column; they are reported, not read.
+MAX_ARCHIVE = (1 << 31) - 1
+_CORRUPT = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, csv.Error)
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -58,103 +68,186 @@ def _as_text(col: pa.ChunkedArray | pa.Array) -> pa.Array:
                         pa.string())
 
 
-def _project(batch: pa.RecordBatch | pa.Table, columns: Sequence[str], n: int,
-             present: set[str]) -> pa.RecordBatch:
-    arrays = []
-    for c in columns:
-        if c in present:
-            arrays.append(_as_text(batch.column(c)))
-        else:                                # column absent from this member's header
-            arrays.append(pa.array([""] * n, pa.string()))
-    return pa.RecordBatch.from_arrays(arrays, names=list(columns))
-
-
-def _irregular_rows(texts: list[str], header: list[str], columns: Sequence[str]) -> pa.RecordBatch:
-    """Rows the fast reader rejected (wrong field count): pad / cut like DictReader."""
-    pos = {name: i for i, name in enumerate(header)}       # last duplicate wins
-    out: dict[str, list] = {c: [] for c in columns}
-    for row in csv.reader(io.StringIO("\n".join(texts))):
-        if not row:
-            continue
-        for c in columns:
-            i = pos.get(c)
-            out[c].append("" if i is None else (row[i] if i < len(row) else None))
-    return pa.RecordBatch.from_arrays([pa.array(out[c], pa.string()) for c in columns], names=list(columns))
-
-
-def _member_header(zf: zipfile.ZipFile, name: str) -> list[str]:
-    with zf.open(name) as f:
-        first = io.TextIOWrapper(f, encoding="utf-8", errors="replace").readline()
-    return next(csv.reader([first]), [])
-
-
-def iter_archive(content: bytes, columns: Sequence[str] = RAW_COLUMNS,
-                 block_bytes: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+class Archive:
+    """One archive: ``batches`` yields its rows; the counts and the error grow with it."""
+
+    def __init__(self, content: bytes | None):
+        self.content = content
+        self.members = self.csv_members = self.rows = 0
+        self.error: str | None = None
+
+    def batches(self, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+        if self.content is None:
+            return
+        try:
+            with zipfile.ZipFile(io.BytesIO(self.content)) as zf:
+                names = zf.namelist()
+                self.members = len(names)
+                for name in names:
+                    if name.lower().endswith(".csv"):
+                        self.csv_members += 1
+                        with zf.open(name) as f:
+                            yield from self._member(f, columns)
+                        if self.error and not self.error.startswith("unclosed"):
+                            return
+        except _CORRUPT as e:
+            self.error = f"{type(e).__name__}: {e}"
+
+    def _blocks(self, f) -> Iterator[bytes]:
+        """Whole lines, about ``BLOCK_BYTES`` at a time; a fault ends them and is remembered."""
+        pending: list[bytes] = []
+        size = 0
+        while True:
+            try:
+                chunk = f.read(CHUNK_BYTES)
+            except _CORRUPT as e:
+                self.error = f"{type(e).__name__}: {e}"
+                chunk, cut = b"", True
+            else:
+                cut = False
+            pending.append(chunk)
+            size += len(chunk)
+            if not chunk or size >= BLOCK_BYTES:
+                data = b"".join(pending)
+                end = len(data) if not chunk and not cut else data.rfind(b"\n") + 1
+                if end:
+                    yield data[:end]
+                pending, size = [data[end:]], len(data) - end
+            if not chunk:
+                return
+
+    def _member(self, f, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+        blocks = self._blocks(f)
+        first = next(blocks, None)
+        if first is None:
+            return
+        # the header is the first record; one that spans lines leaves the block to the csv module
+        line, _, rest = first.partition(b"\n")
+        if line.count(b'"') % 2:
+            yield from self._by_csv(first, blocks, None, columns)
+            return
+        header = next(csv.reader([line.decode("utf-8", "replace")]), [])
+        place = {name: i for i, name in enumerate(header)}          # last duplicate wins
+        block: bytes | None = rest
+        while block is not None:
+            if not header or _opens_quote(block):
+                yield from self._by_csv(block, blocks, place, columns)
+                return
+            for batch in _by_arrow(block, len(header), place, columns):
+                self.rows += batch.num_rows
+                yield batch
+            block = next(blocks, None)
+
+    def _by_csv(self, block: bytes, blocks: Iterator[bytes], place: dict[str, int] | None,
+                columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+        record: list[str] = []          # the lines of the record being read
+
+        def lines() -> Iterator[str]:
+            for data in _chain(block, blocks):
+                for line in io.StringIO(data.decode("utf-8", "replace"), newline=""):
+                    record.append(line)
+                    yield line
+
+        rows: list[list[str]] = []
+        last: list[str] = []
+        try:
+            for row in csv.reader(lines()):
+                if place is None:
+                    place = {name: i for i, name in enumerate(row)}
+                elif row:
+                    rows.append(row)
+                last, record[:] = record[:], []
+                if len(rows) >= BATCH_ROWS:
+                    self.rows += len(rows)
+                    yield _from_rows(rows, place, columns)
+                    rows = []
+            if _unclosed(last):
+                self.error = self.error or "unclosed quote: a field runs to the end of its member"
+        except csv.Error as e:
+            self.error = f"{type(e).__name__}: {e}"
+        if rows:
+            self.rows += len(rows)
+            yield _from_rows(rows, place or {}, columns)
+
+
+def _chain(block: bytes, blocks: Iterator[bytes]) -> Iterator[bytes]:
+    yield block
+    yield from blocks
+
+
+def _unclosed(record: list[str]) -> bool:
+    """Whether the lines of a record end within a quoted field."""
     try:
-        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-            for name in zf.namelist():
-                if not name.lower().endswith(".csv"):
-                    continue
-                header = _member_header(zf, name)
-                with zf.open(name) as f:
-                    for b in _iter_member_with_header(f, header, columns, block_bytes):
-                        yield b
-    except _CORRUPT:
-        return
+        list(csv.reader(record, strict=True))
+    except csv.Error as e:
+        return "unexpected end" in str(e)
+    return False
 
 
-def _iter_member_with_header(f, header: list[str], columns: Sequence[str], block_bytes: int):
-    bad: list[str] = []
+def _opens_quote(block: bytes) -> bool:
+    """Whether some line of the block has an odd number of quotes."""
+    if b'"' not in block:
+        return False
+    data = np.frombuffer(block, np.uint8)
+    before = np.cumsum(data == ord('"'))
+    return bool((before[data == ord("\n")] % 2).any() or before[-1] % 2)
 
-    def on_invalid(row) -> str:
-        bad.append(row.text if isinstance(row.text, str) else row.text.decode("utf-8", "replace"))
-        return "skip"
 
-    try:
-        reader = pacsv.open_csv(
-            f,
-            read_options=pacsv.ReadOptions(block_size=block_bytes),
-            parse_options=pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=on_invalid),
-            convert_options=pacsv.ConvertOptions(
-                column_types={c: pa.binary() for c in columns}, include_columns=list(columns),
-                include_missing_columns=True, strings_can_be_null=False, quoted_strings_can_be_null=False))
-    except pa.ArrowInvalid:     # empty member: no header, no rows
+def _from_rows(rows: list[list[str]], place: dict[str, int], columns: Sequence[str]) -> pa.RecordBatch:
+    """Rows as lists of fields: pad / cut like DictReader."""
+    out = []
+    for c in columns:
+        i = place.get(c)
+        out.append([""] * len(rows) if i is None else [r[i] if i < len(r) else None for r in rows])
+    return pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in out], names=list(columns))
+
+
+def _by_arrow(block: bytes, width: int, place: dict[str, int], columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """A block whose lines all close their quotes; rows of another width go through the csv module."""
+    if not block.strip(b"\r\n"):
         return
-    present = set(header)
-    for batch in reader:
-        if batch.num_rows:
-            yield _project(batch, columns, batch.num_rows, present)
-    if bad:
-        yield _irregular_rows(bad, header, columns)
+    odd: list[str] = []
 
+    def on_invalid(row) -> str:
+        odd.append(row.text if isinstance(row.text, str) else row.text.decode("utf-8", "replace"))
+        return "skip"
 
-def archive_status_of(path: str, content: bytes) -> dict:
-    members = csv_members = 0
-    rows = 0
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-            names = zf.namelist()
-            members = len(names)
-            for name in names:
-                if not name.lower().endswith(".csv"):
-                    continue
-                csv_members += 1
-                header = _member_header(zf, name)
-                if not header:
-                    continue
-                with zf.open(name) as f:
-                    for b in _iter_member_with_header(f, header, header[:1], BATCH_BYTES):
-                        rows += b.num_rows
-        return {"path": path, "members": members, "csv_members": csv_members, "rows": rows, "error": None}
-    except _CORRUPT as e:
-        return {"path": path, "members": members, "csv_members": csv_members, "rows": rows,
-                "error": f"{type(e).__name__}: {e}"[:500]}
+    names = [f"f{i}" for i in range(width)]
+    used = sorted({place[c] for c in columns if c in place}) or [0]
+    table = pacsv.read_csv(
+        io.BytesIO(block),
+        read_options=pacsv.ReadOptions(column_names=names, block_size=len(block) + 1, use_threads=False),
+        parse_options=pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=on_invalid),
+        convert_options=pacsv.ConvertOptions(
+            column_types={n: pa.binary() for n in names}, include_columns=[names[i] for i in used],
+            strings_can_be_null=False, quoted_strings_can_be_null=False))
+    if table.num_rows:
+        absent = pa.array([""] * table.num_rows, pa.string())
+        yield pa.RecordBatch.from_arrays([_as_text(table.column(names[place[c]])) if c in place else absent for c in columns],
+                                         names=list(columns))
+    if odd:
+        yield _from_rows([r for r in csv.reader(io.StringIO("\n".join(odd))) if r], place, columns)
+
+
+def archive_status_of(path: str, content: bytes | None) -> dict:
+    archive = Archive(content)
+    for _ in archive.batches(["\0"]):       # one absent column: rows are parsed and counted only
+        pass
+    return {"path": path, "members": archive.members, "csv_members": archive.csv_members, "rows": archive.rows,
+            "error": archive.error}
 
 
 def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
     """Every archive below ``root`` (any depth), content not yet materialised."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+            .option("recursiveFileLookup", "true").load(root).where(F.col("length") <= MAX_ARCHIVE)
+            .select("path", "content"))
+
+
+def oversized_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
+    """(path, length) of the archives below ``root`` that are too large to be read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true").load(root).where(F.col("length") > MAX_ARCHIVE).select("path", "length"))
 
 
 def extract_rows(files: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
@@ -166,9 +259,7 @@ def extract_rows(files: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> Data
         for b in batches:
             contents = b.column(b.schema.get_field_index("content"))
             for i in range(b.num_rows):
-                content = contents[i].as_py()
-                if content is not None:
-                    yield from iter_archive(content, cols)
+                yield from Archive(contents[i].as_py()).batches(cols)
 
     return files.select("content").mapInArrow(run, schema)
 
@@ -181,7 +272,7 @@ def read_zip_csv(spark: SparkSession, root: str, columns: Sequence[str] = RAW_CO
 
 def archive_status(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
     """S3: one row per archive -- member counts, rows read, and the error that made
-    a corrupt archive yield nothing (NULL when the archive was fine)."""
+    ended a corrupt archive (NULL when the archive was fine)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             paths = b.column(b.schema.get_field_index("path")).to_pylist()
@@ -191,7 +282,10 @@ def archive_status(spark: SparkSession, root: str, glob: str = "*.zip") -> DataF
                 ("path", pa.string()), ("members", pa.int32()), ("csv_members", pa.int32()),
                 ("rows", pa.int64()), ("error", pa.string())]))
 
-    return list_archives(spark, root, glob).mapInArrow(run, STATUS_SCHEMA)
+    too_large = oversized_archives(spark, root, glob).select(
+        "path", F.lit(0).alias("members"), F.lit(0).alias("csv_members"), F.lit(0).cast("long").alias("rows"),
+        F.concat(F.lit("too large: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"))
+    return list_archives(spark, root, glob).mapInArrow(run, STATUS_SCHEMA).unionByName(too_large)
 
 
 # ---------------------------------------------------------------------------

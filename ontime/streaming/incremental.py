@@ -12,8 +12,11 @@ Caveat of the file source: an archive *replaced* under the same name is not re-r
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ontime.operators.clean import clean_flights
 from ontime.schema import CLEAN_COLUMNS, RAW_COLUMNS, clean_schema
@@ -27,6 +30,30 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+class _Totals(StreamingQueryListener):
+    """Micro-batches with input, and archives read, of one run (``recentProgress`` forgets all but the last)."""
+
+    def __init__(self) -> None:
+        self.by_run: dict[str, list[int]] = {}
+        self.ended: set[str] = set()
+        self.news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if n := event.progress.numInputRows:
+            self.by_run.setdefault(str(event.progress.runId), []).append(n)
+
+    def onQueryTerminated(self, event) -> None:
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+
 def archive_stream(spark: SparkSession, raw_root: str, glob: str = "*.zip",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     r = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -43,13 +70,20 @@ def ingest_new_archives(spark: SparkSession, raw_root: str, out_path: str, check
     Returns the progress of the run: micro-batches with input and archives read."""
     clean = clean_flights(extract_rows(archive_stream(spark, raw_root, glob, max_files_per_trigger),
                                        RAW_COLUMNS))
-    q = (clean.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint).partitionBy("year", "month")
-         .trigger(availableNow=True).start(out_path))
-    q.awaitTermination()
-    progress = q.recentProgress
-    return {"batches": len([p for p in progress if p.get("numInputRows", 0) > 0]),
-            "archives": sum(p.get("numInputRows", 0) for p in progress)}
+    totals = _Totals()
+    spark.streams.addListener(totals)
+    try:
+        q = (clean.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", checkpoint).partitionBy("year", "month")
+             .trigger(availableNow=True).start(out_path))
+        q.awaitTermination()
+        run = str(q.runId)
+        with totals.news:  # events of one query come in order, its end last
+            totals.news.wait_for(lambda: run in totals.ended, timeout=60)
+    finally:
+        spark.streams.removeListener(totals)
+    batches = totals.by_run.get(run, [])
+    return {"batches": len(batches), "archives": sum(batches)}
 
 
 def read_ingested(spark: SparkSession, out_path: str) -> DataFrame:

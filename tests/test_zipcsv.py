@@ -1,7 +1,10 @@
+import csv
 import io
 import os
 import zipfile
 
+import pytest
+
 from ontime.sources import zipcsv
 
 
@@ -46,3 +49,92 @@ def test_writer_keeps_rows_with_malformed_dates(spark, scratch):
     written = zipcsv.write_zip_archives(df, scratch, ["FlightDate", "Reporting_Airline"]).collect()
     assert sum(r.rows for r in written) == 5
     assert zipcsv.read_zip_csv(spark, scratch, ["FlightDate", "Reporting_Airline"]).count() == 5
+
+
+COLUMNS = ["A", "B", "C"]
+
+
+def stdlib_rows(content):
+    """What a streaming csv.DictReader gets before it fails."""
+    out = []
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as zf:
+            for name in zf.namelist():
+                if name.lower().endswith(".csv"):
+                    with zf.open(name) as f:
+                        for r in csv.DictReader(io.TextIOWrapper(f, "utf-8", "replace", newline="")):
+                            out.append(tuple(r.get(c, "") for c in COLUMNS))
+    except Exception:  # noqa: BLE001  any fault ends the archive
+        pass
+    return out
+
+
+def packed(data, compression=zipfile.ZIP_DEFLATED):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", compression) as zf:
+        zf.writestr("a.csv", data)
+    return buf.getvalue()
+
+
+def ours(content):
+    archive = zipcsv.Archive(content)
+    rows = [tuple(r.values()) for b in archive.batches(COLUMNS) for r in b.to_pylist()]
+    assert archive.rows == len(rows)
+    return rows, archive.error
+
+
+LINES = "A,B,C\n" + "".join(f"{i},x{i},\"q,{i}\"\n" for i in range(50_000))
+
+
+def test_rows_before_a_bad_checksum_are_kept():
+    content = bytearray(packed(LINES, zipfile.ZIP_STORED))
+    at = content.find(b"49999,")
+    content[at] ^= 1
+    rows, error = ours(bytes(content))
+    whole = stdlib_rows(packed(LINES))
+    assert "CRC" in error and rows == whole[:len(rows)] and len(rows) > 46_000
+
+
+def test_rows_before_a_truncation_are_kept():
+    content = bytearray(packed(LINES))
+    middle = len(content) // 2
+    content[middle:middle + 50] = bytes(50)
+    rows, error = ours(bytes(content))
+    assert error and rows[:20_000] == stdlib_rows(bytes(content))[:20_000] == stdlib_rows(packed(LINES))[:20_000]
+
+
+@pytest.mark.parametrize("data", [
+    "A,B,A\n1,2,3\n4,5\n", "\nA,B\n1,2\n", "", "A,B,C", "A,B,C\n", "A\n\n1\n", 'A,B\n"x\ny",2\n3,4\n', 'A,B\n5"x,6\n7,8\n',
+    "A,B\r\n1,2\r\n\r\n3,4,5\r\n", 'A,B\n1,"never closed\n2,3\n', '"A\n",B\n1,2\n', "B,C\n1,2\n"])
+def test_rows_equal_the_stdlib_reader(data):
+    rows, error = ours(packed(data))
+    assert sorted(rows, key=str) == sorted(stdlib_rows(packed(data)), key=str)
+    assert (error is not None) == ("never closed" in data)
+
+
+def test_a_quote_left_open_over_the_field_limit_is_an_error_not_silence():
+    lines = ["A,B,C"] + [f"{i},x{i},y" for i in range(50_000)]
+    whole = stdlib_rows(packed("\n".join(lines)))
+    lines[30_000] = '29999,"x,y'
+    content = packed("\n".join(lines))
+    rows, error = ours(content)
+    assert "field larger" in error
+    assert rows == stdlib_rows(content) == whole[:29_999]
+
+
+def test_encrypted_members_are_reported():
+    content = bytearray(packed("A,B,C\n1,2,3\n"))
+    for mark, at in ((b"PK\x03\x04", 6), (b"PK\x01\x02", 8)):
+        content[content.find(mark) + at] |= 1  # the flag of an encrypted member
+    rows, error = ours(bytes(content))
+    assert rows == [] and "encrypted" in error
+    assert zipcsv.archive_status_of("p", bytes(content))["error"] == error
+
+
+def test_oversized_archives_are_reported_and_not_read(spark, scratch, monkeypatch):
+    write_zip(f"{scratch}/small.zip", {"a.csv": "A\n1\n"})
+    write_zip(f"{scratch}/large.zip", {"a.csv": "A\n" + "12345\n" * 1000})
+    monkeypatch.setattr(zipcsv, "MAX_ARCHIVE", 1000)
+    assert [r.A for r in zipcsv.read_zip_csv(spark, scratch, ["A"]).collect()] == ["1"]
+    status = {os.path.basename(r.path): r.error for r in zipcsv.archive_status(spark, scratch).collect()}
+    assert status["small.zip"] is None and status["large.zip"].startswith("too large")
