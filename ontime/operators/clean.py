@@ -14,15 +14,13 @@ from ontime.schema import CLEAN_COLUMNS, INT_COLUMNS, RAW_TO_CLEAN
 
 def dep_hour(crs_dep_time: Column) -> Column:
     """Scheduled departure hour: hhmm / 100 truncated (2400 -> 24), NULL stays NULL."""
-    return F.when(crs_dep_time.isNotNull(), (crs_dep_time / 100).cast("int"))
+    return F.try_divide(crs_dep_time, F.lit(100)).cast("int")
 
 
 def delay_label(cancelled: Column, arr_del15: Column) -> Column:
     """1 when cancelled, else the arrival-delay flag, else 0 -- never NULL
     (a diverted flight with no arrival flag counts as on time)."""
-    return (F.when(cancelled == 1, F.lit(1))
-            .when(arr_del15.isNotNull(), arr_del15)
-            .otherwise(F.lit(0)))
+    return F.when(cancelled == 1, 1).otherwise(F.coalesce(arr_del15, F.lit(0)))
 
 
 def clean_flights(raw: DataFrame) -> DataFrame:

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ontime.operators import geo
 from ontime.operators.enrich import attach_stations
-from ontime.operators.weather import dedupe_weather
+from ontime.operators.weather import dedupe_weather, load_weather
 from ontime.plans import chain, reports, views
 from ontime.plans.oracles import WX_COLS, cte_sql, r2, sdiv
 from ontime.plans.registry import register
 from ontime.schema import CLEAN_COLUMNS, ENRICHED_COLUMNS, WEATHER_COLUMNS
 from ontime.sources import tables
+from ontime.sources.sinks import stage_table
 from ontime.sources import testbed as tb
 
 
@@ -67,7 +68,19 @@ def q_map_exact(spark, d):
 @register("weather_union", cte_sql(f"SELECT station_id, weather_date, {', '.join(WX_COLS)}, stn FROM tb_weather",
                                    "tb_weather"), "weather")
 def q_weather_union(spark, d):
-    return chain.weather(spark, d)
+    """One frame for each year, unioned by name."""
+    raw = tb.weather_raw(spark, d)
+    return load_weather(lambda year: raw.where(F.col("year").try_cast("int") == year), chain.START_YEAR, chain.END_YEAR)
+
+
+@register("nearest_k3", cte_sql(
+    f"SELECT iata, station_id, {r2('distance_km', 6)} AS distance_km, CAST(k AS INTEGER) AS rank FROM (SELECT *, "
+    "row_number() OVER (PARTITION BY iata ORDER BY distance_km, station_id) AS k FROM tb_cands WHERE distance_km < 50) "
+    "WHERE k <= 3", "tb_cands"), "geo")
+def q_nearest_k3(spark, d):
+    """W1 for more than one rank: the three nearest stations of each airport."""
+    found = geo.nearest(geo.station_candidates(_airports(spark, d), _stations(spark, d), 50.0, 0.75, "box"), 3)
+    return found.withColumn("distance_km", F.round("distance_km", 6))
 
 
 @register("weather_date", cte_sql("SELECT weather_date, CAST(count(*) AS BIGINT) AS readings FROM tb_weather "
@@ -85,7 +98,8 @@ def q_weather_dedup(spark, d):
 @register("flights_station", cte_sql(
     f"SELECT {', '.join(CLEAN_COLUMNS)}, origin_station, dest_station FROM tb_fs", "tb_fs"), "enrich")
 def q_flights_station(spark, d):
-    f = attach_stations(tb.flights(spark, d), chain.mapping(spark, d))
+    # staged: the map is counted and read on both ends of a flight
+    f = attach_stations(tb.flights(spark, d), stage_table(chain.mapping(spark, d), "airport_station")[0])
     return f.select(*CLEAN_COLUMNS, "origin_station", "dest_station")
 
 
