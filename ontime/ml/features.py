@@ -31,8 +31,8 @@ def training_set(fact: DataFrame, cutoff: str = CUTOFF) -> DataFrame:
     return model_input(_eligible(fact).filter(F.col("flight_date") < F.lit(dt.date.fromisoformat(cutoff))))
 
 
-def holdout_set(fact: DataFrame, cutoff: str = CUTOFF) -> DataFrame:
-    return model_input(_eligible(fact).filter(F.col("flight_date") >= F.lit(dt.date.fromisoformat(cutoff))))
+def holdout_set(fact: DataFrame, cutoff: str = CUTOFF, keep: tuple[str, ...] = ()) -> DataFrame:
+    return model_input(_eligible(fact).filter(F.col("flight_date") >= F.lit(dt.date.fromisoformat(cutoff))), keep)
 
 
 def ml_split(fact: DataFrame, cutoff: str = CUTOFF) -> DataFrame:

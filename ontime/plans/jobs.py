@@ -4,8 +4,10 @@
     map     airports + stations tables         -> airport_station lookup
     enrich  flights_clean + lookup + weather   -> flights_weather_enriched (day-partitioned)
     tables  enriched fact                      -> the five dashboard view tables (S13/S14)
+    reports enriched fact                      -> the five ad-hoc reports (A1-A5)
     models  enriched fact                      -> m_model_comparison, m_eval_metrics,
                                                   m_confusion_matrix, m_feature_importance (S14)
+    run     all of them in this order
 
 Every job reads its inputs from storage and writes its outputs to storage, so the jobs
 can run as separate ``spark-submit`` steps.  Example:
@@ -17,6 +19,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,11 +30,32 @@ from ontime.operators.clean import clean_flights
 from ontime.operators.enrich import enrich
 from ontime.operators.geo import airport_station_map
 from ontime.operators.weather import load_weather
-from ontime.plans import views
+from ontime.plans import reports, views
+from ontime.session import BASE_CONF
 from ontime.sources import sinks, zipcsv
 from ontime.sources.tables import read_source
 
 
+@dataclass
+class Config:
+    """All that the jobs can be told; tables are Parquet paths, catalog names or DataFrames."""
+    out: str
+    raw: str | None = None
+    airports: str | DataFrame | None = None
+    stations: str | DataFrame | None = None
+    weather: str | DataFrame | None = None
+    max_km: float = 50.0
+    box_deg: float = 0.75
+    active_since: str = "20190101"
+    mode: str = "box"
+    start_year: int = 2019
+    end_year: int = 2025
+    min_flights: int = 50_000
+    cutoff: str = features.CUTOFF
+    boosted_params: dict = field(default_factory=dict)
+    as_of: dt.datetime | None = None
+
+
 def clean_job(spark: SparkSession, raw_root: str, out_root: str) -> DataFrame:
     """Archives -> ``<out>/flights_clean`` and ``<out>/archive_status``; returns the status."""
     sinks.write_clean(clean_flights(zipcsv.read_zip_csv(spark, raw_root)), f"{out_root}/flights_clean")
@@ -69,18 +94,31 @@ def tables_job(spark: SparkSession, out_root: str, airports: str | DataFrame) ->
     return list(out)
 
 
+def reports_job(spark: SparkSession, out_root: str, min_flights: int = 50_000) -> list[str]:
+    """The ad-hoc reports written as tables."""
+    fact = sinks.read_fact(spark, f"{out_root}/flights_weather_enriched")
+    out = {"r_headline": reports.headline(fact), "r_yearly_impact": reports.yearly_impact(fact),
+           "r_worst_airports": reports.worst_airports(fact, min_flights),
+           "r_wind_vs_calm": reports.wind_vs_calm(fact), "r_delay_causes": reports.delay_causes_total(fact)}
+    for name, df in out.items():
+        sinks.write_table(df, f"{out_root}/{name}")
+    return list(out)
+
+
 def models_job(spark: SparkSession, out_root: str, cutoff: str = features.CUTOFF,
                boosted_params: dict | None = None, as_of: dt.datetime | None = None) -> DataFrame:
     """Train both classifiers before ``cutoff``, evaluate on the rest, write the m_* tables."""
     fact = sinks.read_fact(spark, f"{out_root}/flights_weather_enriched")
     train, hold = features.training_set(fact, cutoff), features.holdout_set(fact, cutoff)
-    fitted = {models.LOGISTIC: models.fit_logistic(train),
-              models.BOOSTED: models.fit_boosted(train, **(boosted_params or {}))}
+    rows = models.prepared(train)       # staged once, read by both fits
+    fitted = {models.LOGISTIC: models.fit_logistic(rows),
+              models.BOOSTED: models.fit_boosted(rows, **(boosted_params or {}))}
     for kind, m in fitted.items():
         m.write().overwrite().save(f"{out_root}/model_{kind}")
     parts = [models.score(m, hold, kind) for kind, m in fitted.items()]
     scored, _ = sinks.stage_table(parts[0].unionByName(parts[1]), "holdout_scores")
-    window = ev.holdout_window_text(fact.filter(fact.flight_date >= cutoff)).first()["holdout_window"] or ""
+    eligible = features.holdout_set(fact, cutoff, keep=("flight_date",))
+    window = ev.holdout_window_text(eligible).first()["holdout_window"] or ""
     comparison = ev.model_comparison(scored)
     sinks.write_table(comparison, f"{out_root}/m_model_comparison")
     sinks.write_table(ev.eval_metrics(spark.read.parquet(f"{out_root}/m_model_comparison"), window, as_of),
@@ -90,29 +128,38 @@ def models_job(spark: SparkSession, out_root: str, cutoff: str = features.CUTOFF
     return spark.read.parquet(f"{out_root}/m_model_comparison")
 
 
+JOBS = {
+    "clean": lambda s, c: clean_job(s, c.raw, c.out),
+    "map": lambda s, c: map_job(s, c.airports, c.stations, c.out, c.max_km, c.box_deg, c.active_since, c.mode),
+    "enrich": lambda s, c: enrich_job(s, c.weather, c.out, c.start_year, c.end_year),
+    "tables": lambda s, c: tables_job(s, c.out, c.airports),
+    "reports": lambda s, c: reports_job(s, c.out, c.min_flights),
+    "models": lambda s, c: models_job(s, c.out, c.cutoff, c.boosted_params, c.as_of),
+}
+
+
+def run(spark: SparkSession, config: Config) -> dict[str, object]:
+    """The whole chain, each job from storage to storage; returns what each job returned."""
+    return {name: job(spark, config) for name, job in JOBS.items()}
+
+
 def main(argv: list[str] | None = None) -> None:
-    p = argparse.ArgumentParser(prog="ontime-jobs")
-    p.add_argument("job", choices=["clean", "map", "enrich", "tables", "models"])
-    p.add_argument("--out", required=True, help="output root (flights_clean, airport_station, ...)")
-    p.add_argument("--raw", help="archive root (clean)")
-    p.add_argument("--airports", help="airports table or Parquet path (map, tables)")
-    p.add_argument("--stations", help="stations table or Parquet path (map)")
-    p.add_argument("--weather", help="daily weather table or Parquet path (enrich)")
-    p.add_argument("--start-year", type=int, default=2019)
-    p.add_argument("--end-year", type=int, default=2025)
-    p.add_argument("--mode", default="box", choices=["box", "exact"])
-    a = p.parse_args(argv)
-    spark = SparkSession.builder.appName(f"ontime-{a.job}").getOrCreate()
-    if a.job == "clean":
-        clean_job(spark, a.raw, a.out)
-    elif a.job == "map":
-        print(f"airport_station_map: {map_job(spark, a.airports, a.stations, a.out, mode=a.mode)} pairs written")
-    elif a.job == "enrich":
-        enrich_job(spark, a.weather, a.out, a.start_year, a.end_year)
-    elif a.job == "tables":
-        tables_job(spark, a.out, a.airports)
-    else:
-        models_job(spark, a.out)
+    p = argparse.ArgumentParser(prog="ontime-jobs", description=__doc__,
+                                formatter_class=argparse.RawDescriptionHelpFormatter)
+    p.add_argument("job", choices=[*JOBS, "run"])
+    defaults = Config(out="")
+    for f in fields(Config):
+        value = getattr(defaults, f.name)
+        kind = {"boosted_params": json.loads, "as_of": dt.datetime.fromisoformat}.get(f.name)
+        kind = kind or (type(value) if value not in (None, "") else str)
+        p.add_argument("--" + f.name.replace("_", "-"), type=kind, default=value, required=f.name == "out")
+    a = vars(p.parse_args(argv))
+    job = a.pop("job")
+    builder = SparkSession.builder.appName(f"ontime-{job}")
+    for k, v in BASE_CONF.items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    print((run if job == "run" else JOBS[job])(spark, Config(**a)))
 
 
 if __name__ == "__main__":

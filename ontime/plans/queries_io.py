@@ -5,6 +5,8 @@ the session's shared checkpoint directory; the results are read back from storag
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ontime.operators.clean import clean_flights
 from ontime.plans import chain
 from ontime.plans.oracles import cte_sql, flights_sql
@@ -58,9 +60,21 @@ def q_zip_csv_ingest(spark, d):
     return clean_flights(zipcsv.read_zip_csv(spark, _archives(spark, d)))
 
 
-@register("archive_status", None, "io")
+_MONTH = "substr(coalesce(FlightDate, ''), 6, 2)"
+_DIRS_SQL = cte_sql(
+    "SELECT CASE WHEN regexp_full_match(substr(coalesce(FlightDate, ''), 1, 4), '[0-9]{4}') "
+    "THEN substr(FlightDate, 1, 4) ELSE 'unknown' END AS year, "
+    f"CASE WHEN regexp_full_match({_MONTH}, '[0-9]+') THEN CAST(CAST({_MONTH} AS INTEGER) AS VARCHAR) "
+    "ELSE 'unknown' END AS month, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS errors "
+    "FROM tb_raw_flights GROUP BY 1, 2", "tb_raw_flights")
+
+
+@register("archive_status", _DIRS_SQL, "io")
 def q_archive_status(spark, d):
-    return zipcsv.archive_status(spark, _archives(spark, d))
+    """S3 by directory (how many archives a month has depends on the input's partitions)."""
+    part = [F.regexp_extract("path", f"{k}=([^/]*)/", 1).alias(k) for k in ("year", "month")]
+    return zipcsv.archive_status(spark, _archives(spark, d)).groupBy(*part).agg(
+        F.sum("rows").alias("rows"), F.count_if(F.col("error").isNotNull()).alias("errors"))
 
 
 @register("incremental_ingest", _CLEAN_SQL, "io")
@@ -77,7 +91,6 @@ def q_incremental_ingest(spark, d):
     "tb_raw_flights"), "io")
 def q_archive_totals(spark, d):
     """S3 totals: every rendered flight is read back from some archive; none is corrupt."""
-    from pyspark.sql import functions as F
     st = zipcsv.archive_status(spark, _archives(spark, d))
     return st.agg(F.sum("rows").cast("bigint").alias("rows"),
                   F.count_if(F.col("error").isNotNull()).alias("corrupt_archives"))

@@ -2,13 +2,18 @@
 
 Checked against SQL: the split and model input (M1/P15), class weights (M2), feature
 statistics (M4p), and the evaluation operators (M5-M7) on a deterministic scored
-table derived from ``lineitem`` (two fixed scorers).  Model training and everything
-downstream of a fitted model (M3, M4, M8-M11) has no SQL form; those keys run the
-real models on the enriched test-bed table and are checked by row count + tests.
+table derived from ``lineitem`` (two fixed scorers).  Fitted coefficients and trees have
+no SQL form; the keys of M3, M4 and M8-M11 run the real models on the enriched test-bed
+table and return what must hold of any right fit: exact counts and sums of their inputs,
+and flags of the equations that tie the outputs to them.  The raw outputs are those of
+``ontime.ml`` and of ``plans.jobs.models_job``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ontime.ml import evaluate as ev
@@ -25,6 +30,10 @@ _INPUT = ("is_delayed_15, reporting_airline, origin, dest, dep_hour, day_of_week
 _ELIGIBLE = "is_delayed_15 IS NOT NULL AND reporting_airline IS NOT NULL"
 register_cte("tb_train", f"SELECT {_INPUT} FROM tb_enriched WHERE {_ELIGIBLE} AND flight_date < DATE '2025-01-01'",
              ["tb_enriched"])
+register_cte("tb_holdout", f"SELECT flight_date, {_INPUT} FROM tb_enriched WHERE {_ELIGIBLE} "
+             "AND flight_date >= DATE '2025-01-01'", ["tb_enriched"])
+register_cte("tb_models", "SELECT unnest(['logistic_regression', 'boosted_tree']) AS model_type", [])
+register_cte("tb_features", "SELECT unnest([" + ", ".join(f"'{f}'" for f in features.FEATURES) + "]) AS feature", [])
 register_cte("tb_eval_counts", (
     "SELECT model_type, CAST(count_if(label = 1 AND p > 0.5) AS BIGINT) AS tp, "
     "CAST(count_if(label = 0 AND p > 0.5) AS BIGINT) AS fp, CAST(count_if(label = 1 AND p <= 0.5) AS BIGINT) AS fn, "
@@ -39,6 +48,8 @@ register_cte("tb_eval_auc", (
     "GROUP BY model_type"), ["tb_scored"])
 
 _DIGITS = 6
+#: Largest gap of a score equation, as a share of the weight it sums over.
+_SCORE_TOLERANCE = 0.002
 
 
 def _fact(spark, d):
@@ -102,7 +113,7 @@ def q_confusion_long(spark, d):
     return ev.confusion_long(tb.scored(spark, d), ["model_type"])
 
 
-# --- real models on the enriched test-bed table (rows-only checks) -----------
+# --- real models on the enriched test-bed table -----------
 def _models(spark, d, kinds=(models.LOGISTIC, models.BOOSTED)):
     fact = _fact(spark, d)
     train = features.training_set(fact)
@@ -120,42 +131,102 @@ def _holdout_scores(spark, d):
     return chain.staged(spark, d, "holdout_scores", build)
 
 
-@register("train_logistic", None, "ml")
+@register("train_logistic", cte_sql(
+    "SELECT reporting_airline, CAST(count(*) AS BIGINT) AS flights, "
+    f"{r2('sum(w * is_delayed_15)', 3)} AS weighted_delayed, TRUE AS balanced "
+    "FROM (SELECT *, CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY is_delayed_15)) AS w "
+    "FROM tb_train) t GROUP BY 1", "tb_train"), "ml")
 def q_train_logistic(spark, d):
+    """M3: the score equations of the unregularised weighted fit, one for each airline's slot."""
     _, train, ms = _models(spark, d, (models.LOGISTIC,))
-    return explain.linear_attribution(ms[models.LOGISTIC], train)
+    eq = models.score_equations(ms[models.LOGISTIC], train, "reporting_airline")
+    gap = F.abs(F.col("weighted_score") - F.col("weighted_label"))
+    return eq.select("reporting_airline", F.col("rows").alias("flights"),
+                     F.round("weighted_label", 3).alias("weighted_delayed"),
+                     (gap <= F.col("weight") * _SCORE_TOLERANCE).alias("balanced"))
 
 
-@register("train_boosted", None, "ml")
+@register("train_boosted", cte_sql(
+    "SELECT feature, TRUE AS within, CAST(1.0 AS DOUBLE) AS total FROM tb_features", "tb_features"), "ml")
 def q_train_boosted(spark, d):
+    """M4: split-gain importances of every feature, each a share of one."""
     _, _, ms = _models(spark, d, (models.BOOSTED,))
-    return explain.tree_importance(spark, ms[models.BOOSTED])
+    imp = explain.tree_importance(spark, ms[models.BOOSTED])         # one row a feature
+    return imp.select("feature", F.col("attribution").between(0.0, 1.0).alias("within"),
+                      F.round(F.sum("attribution").over(Window.partitionBy()), _DIGITS).alias("total"))
 
 
-@register("score_holdout", None, "ml")
+@register("score_holdout", cte_sql(
+    "SELECT model_type, CAST(is_delayed_15 AS INTEGER) AS label, CAST(count(*) AS BIGINT) AS flights, "
+    "CAST(count(*) AS BIGINT) AS probabilities FROM tb_holdout CROSS JOIN tb_models GROUP BY 1, 2",
+    "tb_holdout", "tb_models"), "ml")
 def q_score_holdout(spark, d):
-    return _holdout_scores(spark, d)
+    """Every eligible hold-out flight scored once by each model, with a probability."""
+    return _holdout_scores(spark, d).groupBy("model_type", "label").agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if(F.col("p").between(0.0, 1.0)).alias("probabilities"))
+
+
+def _from_cells(scored):
+    """Counts-based metrics of each model recomputed from its confusion cells (M6)."""
+    w = ev.confusion_wide(scored, ["model_type"]).groupBy("model_type").agg(
+        *[F.sum(F.when(F.col("expected_label") == y, F.col(f"_{x}"))).alias(f"c{y}{x}") for y in (0, 1) for x in (0, 1)])
+    return w.selectExpr(
+        "model_type", "try_divide(c11, c11 + c01) AS r_precision", "try_divide(c11, c11 + c10) AS r_recall",
+        "try_divide(c11 + c00, c11 + c00 + c10 + c01) AS r_accuracy",
+        "try_divide(2 * c11, 2 * c11 + c01 + c10) AS r_f1")
+
 
+def _agree(digits: int):
+    """Rounded metrics equal the recomputed ones (both null where a denominator is zero)."""
+    same = [F.round(f"r_{m}", digits).eqNullSafe(F.col(m)) for m in ("precision", "recall", "accuracy", "f1")]
+    return same[0] & same[1] & same[2] & same[3]
 
-@register("model_comparison", None, "ml")
+
+@register("model_comparison", cte_sql(
+    "SELECT model_type, TRUE AS cells_agree, TRUE AS within FROM tb_models", "tb_models"), "ml")
 def q_model_comparison(spark, d):
-    return ev.model_comparison(_holdout_scores(spark, d))
+    """M8: metrics equal those of the confusion cells; AUC is a share, log-loss not negative."""
+    scored = _holdout_scores(spark, d)
+    both = ev.model_comparison(scored).join(_from_cells(scored), "model_type", "left")
+    return both.select("model_type", _agree(4).alias("cells_agree"),
+                       (F.col("roc_auc").between(0.0, 1.0) & (F.col("log_loss") >= 0)).alias("within"))
 
 
-@register("eval_metrics", None, "ml")
-def q_eval_metrics(spark, d):
-    return ev.eval_metrics(ev.model_comparison(_holdout_scores(spark, d)), "2025-01-01 .. 2025-12-31")
+_AS_OF = dt.datetime(2026, 1, 1)
 
 
-@register("model_confusion", None, "ml")
+@register("eval_metrics", cte_sql(
+    "SELECT '2026-01-01 00:00:00' AS evaluated_at, model_type, holdout_window, TRUE AS cells_agree FROM tb_models "
+    "CROSS JOIN (SELECT CAST(min(flight_date) AS VARCHAR) || ' .. ' || CAST(max(flight_date) AS VARCHAR) "
+    "AS holdout_window FROM tb_holdout) h", "tb_models", "tb_holdout"), "ml")
+def q_eval_metrics(spark, d):
+    """M9: evaluation time as given, the window of the eligible hold-out, metrics as in M8."""
+    scored = _holdout_scores(spark, d)
+    hold = features.holdout_set(_fact(spark, d), keep=("flight_date",))
+    window = ev.holdout_window_text(hold).first()["holdout_window"]         # one text
+    m = ev.eval_metrics(ev.model_comparison(scored), window, _AS_OF)
+    return m.join(_from_cells(scored), "model_type", "left").select(
+        F.date_format("evaluated_at", "yyyy-MM-dd HH:mm:ss").alias("evaluated_at"), "model_type", "holdout_window",
+        _agree(4).alias("cells_agree"))
+
+
+@register("model_confusion", cte_sql(
+    "SELECT model_type, CAST(is_delayed_15 AS VARCHAR) AS actual, CAST(count(*) AS BIGINT) AS flights, "
+    "CAST(2 AS BIGINT) AS cells FROM tb_holdout CROSS JOIN tb_models GROUP BY 1, 2", "tb_holdout", "tb_models"), "ml")
 def q_model_confusion(spark, d):
-    return ev.confusion_long(_holdout_scores(spark, d), ["model_type"])
+    """M7 on real scores: the cells of each actual label add up to its hold-out flights."""
+    return ev.confusion_long(_holdout_scores(spark, d), ["model_type"]).groupBy("model_type", "actual").agg(
+        F.sum("flights").alias("flights"), F.count(F.lit(1)).alias("cells"))
 
 
-@register("feature_importance", None, "ml")
+@register("feature_importance", cte_sql(
+    "SELECT model_type, feature, TRUE AS not_negative FROM tb_models CROSS JOIN tb_features",
+    "tb_models", "tb_features"), "ml")
 def q_feature_importance(spark, d):
+    """Both models over the full feature list."""
     _, train, ms = _models(spark, d)
-    return explain.feature_importance(spark, ms, train)
+    return explain.feature_importance(spark, ms, train).select(
+        "model_type", "feature", (F.col("attribution") >= 0).alias("not_negative"))
 
 
 # --- M10 on a fixed linear model: exact attribution checked against SQL ------
@@ -193,10 +264,11 @@ def q_linear_attribution(spark, d):
     return a.select("feature", F.round("attribution", _DIGITS).alias("attribution"))
 
 
-@register("permutation_importance", None, "ml")
+@register("permutation_importance", cte_sql(
+    "SELECT 'boosted_tree' AS model_type, feature, TRUE AS within FROM tb_features", "tb_features"), "ml")
 def q_permutation_importance(spark, d):
     """M10, model-agnostic: AUC drop per permuted feature for the boosted model on the hold-out year."""
     fact, _, ms = _models(spark, d, (models.BOOSTED,))
     pi = explain.permutation_importance(ms[models.BOOSTED], features.holdout_set(fact))
     return pi.select(F.lit(models.BOOSTED).alias("model_type"), "feature",
-                     F.round("attribution", 5).alias("attribution"))
+                     F.col("attribution").between(-1.0, 1.0).alias("within"))

@@ -7,19 +7,31 @@ from ontime.sources import zipcsv
 D = "/root/testdata/sf0.001"
 
 
-def test_jobs_end_to_end(spark, scratch):
+def test_the_whole_chain_in_one_call(spark, scratch):
     raw, out = f"{scratch}/raw", f"{scratch}/out"
     zipcsv.write_zip_archives(tb.raw_flights(spark, D), raw).count()
-    status = jobs.clean_job(spark, raw, out)
-    assert status.filter(F.col("error").isNotNull()).count() == 0
+    done = jobs.run(spark, jobs.Config(
+        out, raw, tb.airports_raw(spark, D), tb.stations_raw(spark, D), tb.weather_raw(spark, D), min_flights=10,
+        boosted_params={"maxIter": 3, "maxDepth": 3}))
+    assert list(done) == ["clean", "map", "enrich", "tables", "reports", "models"]
+    assert done["clean"].filter(F.col("error").isNotNull()).count() == 0
     n_flights = spark.read.parquet(f"{out}/flights_clean").count()
     assert n_flights == tb.flights(spark, D).count()
-    assert jobs.map_job(spark, tb.airports_raw(spark, D), tb.stations_raw(spark, D), out) > 0
-    jobs.enrich_job(spark, tb.weather_raw(spark, D), out)
+    assert done["map"] == spark.read.parquet(f"{out}/airport_station").count() > 0
     assert spark.read.parquet(f"{out}/flights_weather_enriched").count() == n_flights
-    assert len(jobs.tables_job(spark, out, tb.airports_raw(spark, D))) == 5
-    cmp = jobs.models_job(spark, out, boosted_params={"maxIter": 3, "maxDepth": 3})
-    assert {r.model_type for r in cmp.collect()} == {"logistic_regression", "boosted_tree"}
+    assert len(done["tables"]) == 5 and len(done["reports"]) == 5
+    assert spark.read.parquet(f"{out}/r_headline").first().total_flights == n_flights
+    assert 0 < spark.read.parquet(f"{out}/r_worst_airports").count() <= 10
+    assert {r.model_type for r in done["models"].collect()} == {"logistic_regression", "boosted_tree"}
     assert spark.read.parquet(f"{out}/m_confusion_matrix").count() == 8
     assert spark.read.parquet(f"{out}/m_feature_importance").count() == 22
     assert spark.read.parquet(f"{out}/m_eval_metrics").first().holdout_window.startswith("2025-")
+
+
+def test_command_line_knows_every_parameter(monkeypatch):
+    seen = {}
+    monkeypatch.setattr(jobs, "JOBS", {"map": lambda spark, c: seen.update(vars(c))})
+    jobs.main(["map", "--out", "o", "--max-km", "30", "--end-year", "2024", "--boosted-params", '{"maxIter": 2}',
+               "--as-of", "2026-01-01T00:00:00"])
+    assert seen["max_km"] == 30.0 and seen["end_year"] == 2024 and seen["cutoff"] == "2025-01-01"
+    assert seen["boosted_params"] == {"maxIter": 2} and seen["as_of"].year == 2026
