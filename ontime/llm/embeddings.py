@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from ontime.llm.links import Union, components
 from ontime.session import shared_dir
 
-BLOCKS, CHUNK, TILE = 4, 8192, 512
+BLOCKS, CHUNK, TILE, WIDE = 4, 8192, 512, 2048
 #: Vectors in the table from which a block's grid has one more axis.
 MORE_AXES = (500_000, 5_000_000, 50_000_000)
 _AT_ONCE = 50_000
@@ -170,11 +170,7 @@ def compare(grid: Grid, block: int, ids: np.ndarray, x: np.ndarray, home: np.nda
     y = grid.turn(x)
     norm = np.linalg.norm(x, axis=1)
     own = grid.of[block]
-    z = np.ascontiguousarray(y[:, own], np.float32)
-    square = (z * z).sum(axis=1)
     links, union = np.zeros(len(ids), np.int64), Union(len(ids))
-    # float32 distances serve to leave out what is clearly too far
-    limit = np.float32(grid.share[block] + 1e-5)
 
     def verify(i: np.ndarray, j: np.ndarray) -> None:
         near = ((y[i[:, None], own] - y[j[:, None], own]) ** 2).sum(axis=1) <= grid.share[block]
@@ -188,20 +184,34 @@ def compare(grid: Grid, block: int, ids: np.ndarray, x: np.ndarray, home: np.nda
         np.add.at(links, j, 1)
         union.link(i, j)
 
-    order = np.argsort(~home, kind="stable")  # those at home first
-    homes = int(home.sum())
-    z, square = z[order], square[order]
-    for at in range(0, homes, TILE):
-        rows = slice(at, min(at + TILE, homes))
-        far = square[rows, None] + square[None, at:] - 2 * (z[rows] @ z[at:].T)
-        i, j = np.nonzero(far <= limit)
-        keep = j > i
-        i, j = order[i[keep] + at], order[j[keep] + at]
-        if across:
-            keep = chunk[i] != chunk[j]
-            i, j = i[keep], j[keep]
-        for k in range(0, len(i), _AT_ONCE):
-            verify(i[k:k + _AT_ONCE], j[k:k + _AT_ONCE])
+    # one float32 product per tile, a . b = -(squared distance) / 2, leaves out what is clearly too far
+    z = y[:, own].astype(np.float32)
+    half, one = (z * z).sum(axis=1) / 2, np.ones(len(z), np.float32)
+    left, right = np.column_stack([z, one, -half]), np.column_stack([z, -half, one])
+    least = np.float32(-(grid.share[block] + 1e-5) / 2)
+
+    def sweep(rows: np.ndarray, columns: np.ndarray, same: bool = False) -> None:
+        """Every pair of ``rows`` and ``columns``; ``same``: both are one list, each pair once."""
+        a, b = left[rows], right[columns]
+        for at in range(0, len(rows), TILE):
+            for to in range(at if same else 0, len(columns), WIDE):
+                product = a[at:at + TILE] @ b[to:to + WIDE].T
+                some = np.flatnonzero(product.max(axis=1) >= least)
+                i, j = np.nonzero(product[some] >= least)
+                i, j = some[i] + at, j + to
+                if same:
+                    once = j > i
+                    i, j = i[once], j[once]
+                for k in range(0, len(i), _AT_ONCE):
+                    verify(rows[i[k:k + _AT_ONCE]], columns[j[k:k + _AT_ONCE]])
+
+    if across:
+        first = chunk == chunk.min()
+        sweep(np.flatnonzero(first & home), np.flatnonzero(~first))
+        sweep(np.flatnonzero(first & ~home), np.flatnonzero(~first & home))
+    else:
+        sweep(np.flatnonzero(home), np.flatnonzero(home), same=True)
+        sweep(np.flatnonzero(home), np.flatnonzero(~home))
     return links, union.label
 
 
