@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame, functions as F
 from ontime.llm.links import Union, components
 from ontime.session import shared_dir
 
-BLOCKS, CHUNK, TILE, WIDE = 4, 8192, 512, 2048
+BLOCKS, TILE, WIDE = 4, 512, 2048
+#: Bytes of the vectors of a chunk; a task holds two.
+CHUNK_BYTES = 1 << 24
 #: Vectors in the table from which a block's grid has one more axis.
 MORE_AXES = (500_000, 5_000_000, 50_000_000)
 _AT_ONCE = 50_000
@@ -244,8 +246,9 @@ def _compared(dealt: DataFrame, grid: Grid) -> DataFrame:
             .mapInArrow(task, "id long, links long, root long"))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each vector of ``vectors`` (vec_id, embedding)."""
+def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCKS, chunk: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id, kept for each vector of ``vectors`` (vec_id, embedding).
+    ``chunk``: vectors of a chunk, by default as many as ``CHUNK_BYTES`` hold."""
     spark = vectors.sparkSession
     rows = (vectors.select(F.col("vec_id").cast("long").alias("id"), "embedding")
             .groupBy("id").agg(F.min("embedding").alias("embedding")))
@@ -260,6 +263,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCK
     size = max(sizes, key=lambda s: (sizes[s], s))
     good = good.where(F.col("size") == size).where(F.col("id").isNotNull())
     grid = Grid(rotation(good, size), cosine, blocks, 1 + sum(sizes[size] >= n for n in MORE_AXES))
+    chunk = chunk or max(1, CHUNK_BYTES // (8 * size))
     parts = {cell: math.ceil(n / chunk) for cell, n in _sizes(good, grid).items() if n > chunk}
     found_at = shared_dir(spark, "vector-links")
     _compared(_dealt(good, grid, parts), grid).write.parquet(found_at)
