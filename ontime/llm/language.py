@@ -10,10 +10,17 @@ number per classifier) come back.
 Defined results: null text and text without a letter are ``und`` with score 0; with no labelled
 row everything is ``und``; with one language each text with a letter gets it.  Repeated rows and
 null ids are scored like any other row; other columns are ignored.
+
+``calibrate`` adds floors to a model: the scores that spans of held-out labelled texts reach, by the
+length of the span.  ``identified`` rejects a text of which less than a third lies in spans that reach
+the floor (see ``accepted``).  Spans too short to tell have no floor, nor has a model of one language,
+which has no classifier: there, texts with a letter stay.
 """
 
 from __future__ import annotations
 
+import random
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -37,6 +44,11 @@ BITS = (12, 13)  # hash bits of bigrams and trigrams
 SIZE = sum(1 << b for b in BITS)
 #: Of the SVM: weight of the squared norm, steps, and how sharply margins become probabilities.
 DECAY, STEPS, SHARPNESS = 1e-3, 150, 3.0
+#: Of the rejection: characters of the spans that have a floor, and the fewest held-out spans that
+#: make one.  It lies halfway between the median scores of the spans and of their letters in random
+#: order, but no nearer to the former than ``REACH`` times its distance from their lowest tenth.
+SPANS, REACH, ENOUGH = (8, 16, 32, 64), 6.0, 20
+_CODE, _RUN = re.compile(r"\S*\d\S*"), re.compile(r"[^\W\d_]+")
 
 
 def family_of(lang: str) -> str:
@@ -45,9 +57,11 @@ def family_of(lang: str) -> str:
 
 @dataclass
 class Model:
-    """families: name -> languages; weights: (family, "") or (language, language) -> SIZE weights and a bias."""
+    """families: name -> languages; weights: (family, "") or (language, language) -> SIZE weights and a bias;
+    floors: the least score of a span, by its length in ``SPANS`` (none: nothing is rejected)."""
     families: dict[str, list[str]] = field(default_factory=dict)
     weights: dict[tuple[str, str], np.ndarray] = field(default_factory=dict)
+    floors: tuple[float, ...] = ()
 
 
 def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -192,16 +206,78 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(task, "doc_id long, lang_pred string, score double")
 
 
+def spans(text: str) -> list[str]:
+    """The distinct letter runs of ``text`` outside words with a digit, in spans of about ``SPANS[-1]``
+    characters: numbers, marks and repetitions tell nothing.  Where those are few, of the whole text."""
+    joined = " ".join(dict.fromkeys(_RUN.findall(_CODE.sub(" ", text.lower()))))
+    if len(joined) < SPANS[1]:
+        joined = " ".join(dict.fromkeys(_RUN.findall(text.lower()))) or text
+    count = max(1, len(joined) // SPANS[-1])
+    cut = [len(joined) * k // count for k in range(count + 1)]
+    return [joined[i:j] for i, j in zip(cut, cut[1:])]
+
+
+def calibrate(model: Model, labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """``model`` with floors: a model of four fifths of ``labelled`` scores spans of the other fifth (at
+    most ``per_language`` texts a language, cut to each length of ``SPANS``)."""
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
+    learned = fit(rows.where(~held), per_language)
+    if not learned.weights:
+        return model
+
+    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            own = [s for text in part["text"] for s in spans(text)]
+            for k, n in enumerate(SPANS):
+                cut = [s[:n] for s in own if len(s) >= n]
+                if cut:
+                    mixed = ["".join(random.Random(s).sample(s, len(s))) for s in cut]
+                    score, other = (decide(learned, pa.array(x, pa.string()))[1] for x in (cut, mixed))
+                    yield pd.DataFrame({"length": k, "score": score, "other": other})
+
+    known = [lang for own in learned.families.values() for lang in own]
+    texts = sampling.sample(rows, "lang", rows.where(held & F.col("lang").isin(known)), per_language)
+    found = (texts.mapInPandas(one, "length int, score double, other double").groupBy("length")
+             .agg(F.count("*").alias("n"), F.percentile_approx("score", [0.1, 0.5], 10000).alias("q"),
+                  F.percentile_approx("other", 0.5, 10000).alias("other")).collect())
+    floors = [0.0] * len(SPANS)
+    for r in found:
+        if r.n >= ENOUGH:
+            floors[r.length] = max(0.0, min((r.q[1] + r.other) / 2, r.q[1] - REACH * (r.q[1] - r.q[0])))
+    return Model(model.families, model.weights, tuple(floors))
+
+
+def accepted(model: Model, column: pa.Array) -> np.ndarray:
+    """Whether each text is in a learned language: its score reaches the highest floor, or at least
+    a third of it (counted in characters) lies in spans that reach the floor of their length (a text may
+    change between languages)."""
+    score = decide(model, column)[1]
+    if not any(model.floors):
+        return np.ones(len(score), bool)
+    keep = score >= max(model.floors)
+    for i in np.flatnonzero(~keep).tolist():
+        own = spans(column[i].as_py() or "")
+        size = np.array([len(s) for s in own])
+        level = np.searchsorted(SPANS, size, "right")  # 0: shorter than any
+        floor = np.concatenate([[0.0], model.floors])[level]
+        good = decide(model, pa.array(own, pa.string()))[1] >= floor
+        keep[i] = 3 * size[good].sum() >= size.sum()
+    return keep
+
+
 def identified(docs: DataFrame, model: Model, least: float = 0.0) -> DataFrame:
-    """The rows of ``docs`` (text, ...), all columns, whose text is in a language with a score of at
-    least ``least``; ``und`` is none."""
+    """The rows of ``docs`` (text, ...), all columns, whose text is in a learned language (``accepted``)
+    with a score of at least ``least``; ``und`` is none."""
     if not model.families:
         return docs.limit(0)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches, "text"):
             keep = part.column("__llm_letter").to_numpy(zero_copy_only=False).copy()
-            keep &= decide(model, part.column("text"))[1] >= least
+            keep &= accepted(model, part.column("text"))
+            if least > 0:
+                keep &= decide(model, part.column("text"))[1] >= least
             yield part.drop_columns(["__llm_letter"]).filter(pa.array(keep))
 
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))

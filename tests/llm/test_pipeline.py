@@ -1,4 +1,7 @@
 import corpus_pipeline
+import numpy as np
+from pyspark.sql import functions as F
+
 from ontime.llm import queries
 
 SF = "/root/testdata/sf0.01"
@@ -18,6 +21,22 @@ def test_stages_keep_clean_documents_and_their_columns(spark):
     assert pieces.select("doc_id").distinct().count() == counts[4]
 
 
+def test_language_stage_rejects_foreign_and_nonsense_texts_alone(spark):
+    rng = np.random.default_rng(3)
+    junk = ["kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki",
+            "Все люди рождаются свободными и равными в своем достоинстве и правах, они наделены разумом",
+            "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待" * 3,
+            "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), 400)),
+            "".join(rng.choice(list("bcdfghjklmnpqrstvwxz    "), 150)),
+            " ".join("%x" % k for k in rng.integers(1 << 20, 1 << 40, 60))]
+    docs = queries.table(spark, SF, "documents")
+    planted = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(junk)],
+                                    "doc_id long, text string, lang string")
+    found = queries.identified_documents(spark, docs.unionByName(planted, allowMissingColumns=True), SF)
+    assert [r.text for r in found.where("doc_id < 0").collect()] == []
+    assert found.count() == docs.where(F.col("text").rlike(r"\p{L}")).count()
+
+
 def test_run_on_the_whole_table(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.count() > 0 and "sequence_id" in found.columns
