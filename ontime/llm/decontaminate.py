@@ -2,7 +2,8 @@
 
 A token is a word, A-Z lower-cased and without a final ``.,!?;:``.  Each of the fixed ``MASKS`` is laid
 over every position of every text; the hash of the tokens at its marked places ignores the others,
-so a substituted token spoils few seeds.  The seeds of the test items are joined with those of the
+so a substituted token spoils few seeds.  Whichever ``AGREE`` of the places of a window are equal, a
+mask lies on equal places alone (tested over all patterns), so no overlap is missed.  The seeds of the test items are joined with those of the
 documents; every hit gives a diagonal (item start within the document), along which the aligned
 tokens are compared.  A document overlaps an item when some ``WINDOW`` consecutive aligned places (all
 places of a shorter item) hold at least ``AGREE`` of equal tokens.
@@ -10,8 +11,7 @@ places of a shorter item) hold at least ``AGREE`` of equal tokens.
 The test items are dealt to shards of about ``SHARD`` tokens, of which each is broadcast in turn; the
 documents are one pass a shard, without a shuffle, so no group can be hot.
 
-Defined results: items shorter than a mask are looked for by one gapless seed of their length, and
-items of fewer than ``LEAST`` tokens not at all; null or empty texts overlap nothing; a document that
+Defined results: items of fewer than ``LEAST`` tokens are not looked for; null or empty texts overlap nothing; a document that
 overlaps several items gives a row for each, at its best place; repeated rows give repeated rows; with
 an empty benchmark nothing overlaps.
 """
@@ -28,8 +28,10 @@ from pyspark.sql import DataFrame, functions as F
 from ontime.llm import text as tx
 
 #: 1 marks the places of a seed that count.
-MASKS = ("1110110111", "1101011001011", "111001010111")
+MASKS = ("1111", "10111", "11011", "11101", "110101", "110011")
 WINDOW, AGREE, LEAST, SHARD = 20, 0.7, 5, 400_000
+#: The most seed hits that are verified at once (a common phrase has many).
+BLOCK = 50_000
 _FINAL = np.zeros(256, bool)
 _FINAL[[ord(c) for c in ".,!?;:"]] = True
 
@@ -64,9 +66,7 @@ class Items:
         self.ids = ids
         self.hashes, self.of = tokens(pa.array(texts, pa.string()))
         size = np.diff(self.of)
-        longest = max(map(len, MASKS))
-        self.masks = {m: size >= len(m) for m in MASKS}
-        self.masks |= {"1" * n: size == n for n in range(LEAST, longest) if n < min(map(len, MASKS)) and (size == n).any()}
+        self.masks = {m: size >= max(LEAST, len(m)) for m in MASKS}
         self.seeds = {}
         for mask, fits in self.masks.items():
             found, item, place = [], [], []
@@ -82,32 +82,34 @@ class Items:
                 maybe[found >> np.uint64(42)] = True
                 self.seeds[mask] = found[order], item[order], place[order], maybe
 
-    def hits(self, hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """Distinct (document, item, diagonal as a position in ``hashes``) of all seed hits."""
-        out = [np.zeros((0, 3), np.int64)]
-        doc_at = None
+    def hits(self, hashes: np.ndarray, of: np.ndarray) -> Iterator[np.ndarray]:
+        """Blocks of distinct (document, item, diagonal as a position in ``hashes``) of the seed hits."""
         for mask, (found, item, place, maybe) in self.seeds.items():
             s = seeds(hashes, mask)
             at = np.flatnonzero(maybe[s >> np.uint64(42)])
             low, high = np.searchsorted(found, s[at], "left"), np.searchsorted(found, s[at], "right")
             some = high > low
             at, low, high = at[some], low[some], high[some]
-            if not len(at):
-                continue
             doc_at = np.searchsorted(of, at, "right") - 1
             inside = at + len(mask) <= of[doc_at + 1]
             at, low, high, doc_at = at[inside], low[inside], high[inside], doc_at[inside]
-            pick = tx.gather(low, high - low)
-            again = np.repeat(np.arange(len(at)), high - low)
-            out.append(np.stack([doc_at[again], item[pick], at[again] - place[pick]], axis=1))
-        return np.unique(np.concatenate(out), axis=0)
+            total = np.concatenate([[0], np.cumsum(high - low)])
+            for first in range(0, int(total[-1]), BLOCK):
+                pick = np.arange(first, min(first + BLOCK, int(total[-1])))
+                again = np.searchsorted(total, pick, "right") - 1
+                pick += low[again] - total[again]
+                yield np.unique(np.stack([doc_at[again], item[pick], at[again] - place[pick]], axis=1), axis=0)
 
     def overlaps(self, hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Verified (document, item, first aligned position in the document, aligned places, equal
         tokens), the best of each document and item."""
-        hit = self.hits(hashes, of)
-        if not len(hit):
-            return np.zeros((0, 5), np.int64)
+        rows = np.zeros((0, 5), np.int64)
+        for hit in self.hits(hashes, of):
+            rows = self.best(np.concatenate([rows, self.verified(hashes, of, hit)]))
+        return rows
+
+    def verified(self, hashes: np.ndarray, of: np.ndarray, hit: np.ndarray) -> np.ndarray:
+        """The rows of ``overlaps`` of all diagonals of ``hit`` that overlap."""
         doc, item, diagonal = hit.T
         first = np.maximum(diagonal, of[doc])
         end = np.minimum(diagonal + self.of[item + 1] - self.of[item], of[doc + 1])
@@ -124,7 +126,10 @@ class Items:
         own = tx.owner(size)
         best = np.maximum.reduceat(total[np.minimum(start + window[own], at[own + 1])] - total[start], at[:-1])
         good = np.flatnonzero(best >= need)
-        rows = np.stack([doc, item, first - of[doc], size, total[at[1:]] - total[at[:-1]]], axis=1)[good]
+        return np.stack([doc, item, first - of[doc], size, total[at[1:]] - total[at[:-1]]], axis=1)[good]
+
+    @staticmethod
+    def best(rows: np.ndarray) -> np.ndarray:
         order = np.lexsort((rows[:, 2], -rows[:, 4], rows[:, 1], rows[:, 0]))
         rows = rows[order]
         new = np.ones(len(rows), bool)

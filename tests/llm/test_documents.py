@@ -1,5 +1,6 @@
 """Operators 1, 2, 3, 5, 6, 8 and 9: exact parts against plain Python, models on held-out rows."""
 
+import itertools
 import math
 import re
 import zlib
@@ -147,6 +148,44 @@ def test_overlaps_equal_brute_force_on_the_given_tables(spark):
     assert {r.doc_id for r in queries.op5_decontaminate(spark, LARGER).collect()} == expected
 
 
+def test_every_pattern_that_agrees_has_a_seed():
+    for n in range(decontaminate.LEAST, decontaminate.WINDOW + 1):
+        spoiled = n - math.ceil(decontaminate.AGREE * n - 1e-9)
+        equal = np.array([[i not in gone for i in range(n)] for gone in itertools.combinations(range(n), spoiled)])
+        hit = np.zeros(len(equal), bool)
+        for m in decontaminate.MASKS:
+            for k in range(n - len(m) + 1):
+                hit |= equal[:, [k + i for i, c in enumerate(m) if c == "1"]].all(axis=1)
+        assert hit.all(), n
+
+
+def test_overlaps_equal_a_sliding_comparison_under_random_substitutions():
+    rng = np.random.default_rng(2)
+    sizes = [5, 6, 8, 10, 14, 17, 20, 27, 40]
+    items = [[f"i{k}w{j}" if j % 3 else f"c{j % 7}" for j in range(n)] for k, n in enumerate(sizes)]
+    docs = []
+    for item in items:
+        for rate in (0, .1, .2, .25, .3, .35):
+            for _ in range(6):
+                copy = [f"s{rng.integers(9)}" if rng.random() < rate else w for w in item]
+                docs.append([f"r{rng.integers(50)}" for _ in range(rng.integers(5))] + copy + ["z"] * int(rng.integers(3)))
+        for phase in range(4):
+            docs.append(["s" if j % 4 == phase else w for j, w in enumerate(item)])
+
+    def overlap(doc, item):
+        w = min(len(item), decontaminate.WINDOW)
+        for shift in range(1 - len(item), len(doc)):
+            equal = [0 <= shift + j < len(doc) and doc[shift + j] == t for j, t in enumerate(item)]
+            if any(sum(equal[k:k + w]) >= decontaminate.AGREE * w - 1e-9 for k in range(len(item) - w + 1)):
+                return True
+        return False
+
+    found = decontaminate.Items(list(range(len(items))), [" ".join(i) for i in items])
+    rows_ = found.overlaps(*decontaminate.tokens(pa.array([" ".join(d) for d in docs])))
+    expected = {(d, i) for d, doc in enumerate(docs) for i, item in enumerate(items) if overlap(doc, item)}
+    assert {(int(r[0]), int(r[1])) for r in rows_} == expected and len(rows_) == len(expected)
+
+
 # ---- 6: chat formatting
 def test_turns_come_back_from_the_formatted_bytes():
     roles = ["user", "assistant", None, "we\nird\\", "", "#", "a\\\n"]
