@@ -1,13 +1,13 @@
-"""N-gram Jaccard join with a MinHash LSH forest (operator 4).
+"""N-gram Jaccard join with MinHash banding in place of an LSH forest (operator 4).
 
 A text's shingles are its runs of ``GRAM`` words (of a shorter text: all its words, as one); two texts
 link when the Jaccard similarity of their shingle sets is at least the threshold.
 
-1. Each text gets a hash of its shingle set and the MinHash values of ``TREES`` prefix tries (trees).
+1. Each text gets a hash of its shingle set and MinHash values in ``TREES`` bands (trees).
    Texts with equal sets are one node from here on, with a number of copies.
-2. In each tree, sorted by signature, nodes whose signatures share a prefix are candidates.  The
-   matched prefixes start at ``DEEPEST`` values and are shortened until pairs at the threshold are
-   found with the target recall (``prefix_length``).
+2. In each tree, nodes with equal keys are candidates.  A key hashes a fixed number of values: the
+   most, up to ``DEEPEST``, with which pairs at the threshold are found with the target recall
+   (``prefix_length``).  So this is banding of one depth in place of a forest's descent.
 3. A group of nodes with one prefix is compared in one task, or, if large, chunk by chunk in many.
    Groups with the same members in several trees are compared once, and a pair only in the first
    tree in which it meets.  Verification is exact, on the shingle sets of the whole texts: the
