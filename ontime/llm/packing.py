@@ -56,6 +56,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = sorted({t.content.encode().translate(tx.LOWER.tobytes()) for t in added})
         self.forget()
 
     def forget(self) -> None:
@@ -65,6 +67,18 @@ class Encoder:
         self.ids: list[np.ndarray] = []
         self.flat = np.zeros(0, np.uint32)
 
+    def lowered(self, data: np.ndarray) -> np.ndarray:
+        """``data`` with A-Z lower-cased, as the tokenizer does, save where that could make an added
+        token: these are matched on the raw text."""
+        out = tx.LOWER[data]
+        raw = out.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                out[at:at + len(token)] = data[at:at + len(token)]
+                at = raw.find(token, at + 1)
+        return out
+
     def learn(self, data: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         raw = data.tobytes()
         found = self.tokenizer.encode_batch_fast([raw[s:e].decode() for s, e in zip(starts.tolist(), ends.tolist())],
@@ -82,7 +96,7 @@ class Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, id offsets per text)."""
         data, off = tx.flat(column)
-        data = tx.LOWER[data]
+        data = self.lowered(data)
         starts, ends, of = pieces_of(data, off)
         uniq, first, inverse = np.unique(tx.span_hash(tx.prefix_sums(data), starts, ends),
                                          return_index=True, return_inverse=True)

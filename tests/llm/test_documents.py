@@ -266,6 +266,14 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
         assert ids[a:b].tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_matches_added_tokens_on_the_raw_text():
+    enc = packing.encoder(queries.word_bpe())
+    texts = ["a <|ENDOFTEXT|> b", "<|StartOfText|>", "a <|endoftext|> b", "X<|EndOfText|>Y.", "A.B<|endoftext|>C <|ENDOFTEXT|>."]
+    ids, off = enc.encode(pa.array(texts))
+    for text, a, b in zip(texts, off[:-1], off[1:]):
+        assert ids[a:b].tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packing_respects_all_three_limits(spark, odd_docs, no_docs):
     prompts = F.when(F.col("doc_id") == 5, 1000).otherwise(0)
     pieces = packing.pack(odd_docs, queries.word_bpe(), tokens=64, segments=3, loss=40, loss_from=prompts).collect()
