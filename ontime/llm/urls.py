@@ -111,6 +111,6 @@ def judge(pages: DataFrame, model: LogisticRegressionModel) -> DataFrame:
     rows = featurize(pages.select(F.col("page_id").cast("long").alias("page_id"), "url"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"))
     scored = model.transform(rows).withColumn("score", vector_to_array("probability")[1])
-    judged = F.when((F.col("host") != "") & (F.col("score") >= 0.5), "block").otherwise("allow")
+    judged = F.when((F.concat("host", "path") != "") & (F.col("score") >= 0.5), "block").otherwise("allow")
     return scored.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, judged).alias("verdict"),
                          "score")

@@ -80,6 +80,13 @@ def test_url_rules_equal_plain_python(spark):
     assert urls.judge(pages.limit(0), model).count() == 0
 
 
+def test_url_without_a_host_is_judged_by_its_path(spark):
+    pages = spark.createDataFrame([(1, "http:///casino/bonus"), (2, "http://?casino"), (3, None)], "page_id long, url string")
+    found = {r.page_id: r for r in urls.judge(pages, urls.fit(spark)).collect()}
+    assert found[1].host == "" and found[1].score >= 0.5 and found[1].verdict == "block"
+    assert found[2].verdict == found[3].verdict == "allow"
+
+
 # ---- 3: language model
 def test_base_scores_are_exact_and_the_model_beats_them(spark):
     docs = queries.table(spark, SF, "documents").collect()
