@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ontime.llm import (chat, decontaminate, embeddings, hpylm, language, packing, shingles, substrings,
-                        toxicity, urls)
+                        toxicity, urls, vectorcodes)
 from ontime.llm.sampling import remainder
+from ontime.session import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
+    folder = shared_dir(spark, "vector-codes")
+    coded.write.parquet(folder)
+    whole = vectorcodes.with_label_error(spark.read.schema(coded.schema).parquet(folder))
+    return whole.select("vec_id", "code", "error", "label_error",
+                        F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
+
+
 # ---- stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame ------------------------------
 
 def identified_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -115,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _OP6 = r"""
@@ -135,6 +146,54 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM formatted GROUP BY conv_id
 """
 
+_OP13 = """
+WITH RECURSIVE kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT r, vec_id, label, p, v[p * (len(v) // 8) + 1:(p + 1) * (len(v) // 8)] AS x
+  FROM kept, (SELECT unnest(range(8)) AS p)
+), books(round, p, e, entry) AS (
+  SELECT 0, p, r - 1, x FROM parts WHERE r <= 16
+  UNION ALL
+  SELECT b.round + 1, b.p, b.e, coalesce(n.entry, b.entry)
+  FROM books b LEFT JOIN (
+    SELECT p, e, list(CAST(floor_mean AS BIGINT) ORDER BY place) AS entry
+    FROM (
+      SELECT p, e, place, CASE WHEN s >= 0 THEN s // c ELSE -((-s + c - 1) // c) END AS floor_mean
+      FROM (
+        SELECT p, e, place, sum(c) AS s, count(*) AS c
+        FROM (
+          SELECT a.p, a.k % 16 AS e, unnest(a.x) AS c, unnest(range(len(a.x))) AS place
+          FROM (
+            SELECT t.p, t.r, any_value(t.x) AS x,
+              min(CAST(list_sum(list_transform(list_zip(t.x, o.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 16 + o.e) AS k
+            FROM parts t JOIN books o ON t.p = o.p GROUP BY t.p, t.r
+          ) a
+        ) GROUP BY p, e, place
+      )
+    ) GROUP BY p, e
+  ) n ON b.p = n.p AND b.e = n.e
+  WHERE b.round < 6
+), final AS (SELECT p, e, entry FROM books WHERE round = 6),
+coded AS (
+  SELECT t.r, any_value(t.vec_id) AS vec_id, any_value(t.label) AS label, t.p,
+    min(CAST(list_sum(list_transform(list_zip(t.x, o.entry), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) * 16 + o.e) AS k
+  FROM parts t JOIN final o ON t.p = o.p GROUP BY t.r, t.p
+), rows_ AS (
+  SELECT r, any_value(vec_id) AS vec_id, any_value(label) AS label,
+    string_agg(printf('%02x', k % 16), '' ORDER BY p) AS code, CAST(sum(k // 16) AS BIGINT) AS error
+  FROM coded GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY p, e)) FROM final) AS codebooks_sha256
+FROM rows_
+"""
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": _OP13,
     "op6_chat_format": _OP6,
 }
