@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import (chat, decontaminate, embeddings, hpylm, language, packing, shingles, substrings,
-                        toxicity, urls, vectorcodes)
+from ontime.llm import (chat, decontaminate, embeddings, hpylm, language, packing, ranking, shingles,
+                        substrings, toxicity, urls, vectorcodes)
 from ontime.llm.sampling import remainder
 from ontime.session import shared_dir
 
@@ -76,6 +76,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
     folder = shared_dir(spark, "vector-codes")
@@ -125,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -146,6 +151,35 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM formatted GROUP BY conv_id
 """
 
+_TERMS = r"""list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'),
+    lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"""
+
+_OP11 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, CAST(doc_id AS BIGINT) AS doc_id, {_TERMS} AS terms FROM documents
+), corpus AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0
+), asked AS (
+  SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms
+  FROM (SELECT DISTINCT CAST(item_id AS BIGINT) AS item_id, coalesce(text, '') AS text FROM benchmark)
+), wanted AS (
+  SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(terms) AS term FROM asked) GROUP BY q, item_id, term
+), held AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY r, doc_id, n, term
+), weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term, n_docs
+), scored AS (
+  SELECT q, item_id, r, doc_id,
+    CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+  FROM held JOIN weight USING (term) JOIN wanted USING (term), corpus GROUP BY q, item_id, r, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0
+) WHERE rank <= 20
+"""
+
 _OP13 = """
 WITH RECURSIVE kept AS (
   SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
@@ -194,6 +228,7 @@ FROM rows_
 """
 
 ORACLES: dict[str, str] = {
+    "op11_ranked_search": _OP11,
     "op13_vector_codes": _OP13,
     "op6_chat_format": _OP6,
 }
