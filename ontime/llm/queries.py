@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ontime.llm import (chat, decontaminate, embeddings, hpylm, language, packing, ranking, shingles,
-                        substrings, toxicity, urls, vectorcodes)
+from ontime.llm import (chat, decontaminate, embeddings, extraction, hpylm, language, packing, ranking,
+                        shingles, substrings, toxicity, urls, vectorcodes)
 from ontime.llm.sampling import remainder
 from ontime.session import shared_dir
 
@@ -80,6 +80,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"), extraction.fit(spark))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vectorcodes.compress(table(spark, sf_dir, "embeddings"))
     folder = shared_dir(spark, "vector-codes")
@@ -130,6 +134,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_ranked_search": op11_ranked_search,
+    "op12_html_text": op12_html_text,
     "op13_vector_codes": op13_vector_codes,
 }
 
