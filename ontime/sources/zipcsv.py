@@ -1,52 +1,60 @@
 """ZIP-of-CSV archives as a Spark source (S1-S5) with a per-archive status side
 output (S3), plus the archive writer the test bed uses to produce inputs.
 
-Scan: ``binaryFile`` lists the archives (glob ``*.zip``, recursive, no partition
-inference -- year and month come from the flight date, not the path) and reads each
-one into a single row; ``mapInArrow`` then streams every CSV member of every archive
-in bounded record batches, keeping only the requested columns.  One archive is one unit
-of work, so parallelism = number of archives.  Binary files are never split; Spark packs
-small ones into a partition up to ``spark.sql.files.maxPartitionBytes``, and a task holds
-the archives of one Arrow batch plus one block of lines.
-
-Row semantics (those of a header-driven ``csv.DictReader``):
-* members not ending in ``.csv`` (any case) are ignored; every CSV member is read;
-* a requested column missing from a member's header is '' on every row; of duplicate
-  header names the last one wins;
-* a row shorter than the header gives NULL for the missing trailing fields; extra
-  fields are ignored; blank lines are skipped;
-* invalid UTF-8 is replaced by U+FFFD;
-* a fault (not a ZIP, bad checksum, truncation, encryption, unknown compression, a field
-  beyond the csv module's limit) ends its archive: all complete rows before it are kept,
-  and ``archive_status`` names it.  A quote that is never closed takes the rest of its
-  member into its field, as the csv module does, and is named too.
-
-A member is read in chunks of 64 KiB and parsed in blocks of whole lines: by pyarrow
-while every line of a block closes its quotes, by the csv module from the first block
-in which one does not.
+Scan: ``binaryFile`` lists the archives (path, time, length; any depth, or one month's
+directories only).  A first map reads each archive's central directory, a few KB at its
+end, and gives one row for every CSV member; these rows are dealt round-robin, and a
+second map streams each member through the filesystem, in chunks.  So a task holds a
+block of lines whatever the size of the archive or of its members, archives have no size
+limit, and one big archive of many members is many tasks.  The rows' semantics are those
+of ``csvrows``.
+
+Members not ending in ``.csv`` (any case) are ignored; every CSV member is read.  A fault
+(bad checksum, truncation, encryption, unknown compression, a field beyond the csv
+module's limit) ends its member: all complete rows before it are kept, and the archive's
+other members are read.  What is no ZIP gives no rows.  A quote that is never closed takes
+the rest of its member into its field, as in the csv module, and is named too.
+
+Status: with ``status_to``, the tasks that read the rows also write what they found, a
+small Parquet file a task, under a temporary name and renamed; a repeated task replaces
+its file.  So rows and status come from the one pass that the caller's write makes, and
+``read_status`` sums them up by archive afterwards.
+
+Stores that only Spark opens (no filesystem of pyarrow has their scheme) are read through
+the ``content`` column of ``binaryFile``, an archive a row.  That column ends at 2 GiB;
+larger archives there are an error of the scan, unless only their status is asked for.
 """
 
 from __future__ import annotations
 
 import csv
 import io
+import math
+import struct
+import urllib.parse
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.csv as pacsv
+import pyarrow.fs as pafs
+import pyarrow.parquet as papq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.schema import RAW_COLUMNS
+from ontime.sources.csvrows import CsvRows
 
-CHUNK_BYTES, BLOCK_BYTES, BATCH_ROWS = 64 << 10, 4 << 20, 50_000
-#: Larger files do not fit the binary column; they are reported, not read.
-MAX_ARCHIVE = (1 << 31) - 1
-_CORRUPT = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, csv.Error)
+#: Largest value of the binary column of the ``content`` way.
+MAX_CONTENT = (1 << 31) - 1
+#: Bytes of archives for each task of the second map, and of a read from storage.
+SPLIT_BYTES, READ_BYTES = 64 << 20, 1 << 20
+FAULTS = (zipfile.BadZipFile, zlib.error, EOFError, RuntimeError, NotImplementedError, csv.Error, struct.error)
+_DIRECT = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs"}
 
 STATUS_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -55,21 +63,86 @@ STATUS_SCHEMA = T.StructType([
     T.StructField("rows", T.LongType()),
     T.StructField("error", T.StringType()),
 ])
+#: One row for each CSV member; number -1 stands for an archive without any, or that cannot be opened.
+_MEMBERS = ("path string, members int, csv_members int, number int, name string, offset long, packed long, size long, "
+            "method int, flags int, crc long, error string")
+_MEMBER_SCHEMA = pa.schema([
+    ("path", pa.string()), ("members", pa.int32()), ("csv_members", pa.int32()), ("number", pa.int32()), ("name", pa.string()),
+    ("offset", pa.int64()), ("packed", pa.int64()), ("size", pa.int64()), ("method", pa.int32()), ("flags", pa.int32()),
+    ("crc", pa.int64()), ("error", pa.string())])
+_FOUND_SCHEMA = pa.schema([("path", pa.string()), ("members", pa.int32()), ("csv_members", pa.int32()), ("number", pa.int32()),
+                           ("rows", pa.int64()), ("error", pa.string())])
+_FOUND = "path string, members int, csv_members int, number int, rows long, error string"
 
 
-def _as_text(col: pa.ChunkedArray | pa.Array) -> pa.Array:
-    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    if pa.types.is_null(col.type):
-        return col
+def _scheme(path: str) -> str:
+    return path.split(":", 1)[0].lower() if ":" in path.split("/", 1)[0] else "file"
+
+
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """pyarrow's filesystem of a path as Spark gives it, and the path in it."""
+    scheme = _scheme(path)
+    if scheme == "file":
+        local = path[5:] if path.lower().startswith("file:") else path
+        return pafs.LocalFileSystem(), "/" + local.lstrip("/") if path != local or path.startswith("/") else local
+    _, rest = path.split(":", 1)
+    return pafs.FileSystem.from_uri(f"{_DIRECT[scheme]}:{urllib.parse.quote(rest, safe='/@:=')}")
+
+
+def _open(path: str) -> io.BufferedReader:
+    fs, at = filesystem(path)
+    return io.BufferedReader(fs.open_input_file(at), READ_BYTES)
+
+
+def _csv_members(f) -> tuple[int, list[zipfile.ZipInfo]]:
+    """(number of members, the CSV members), from the central directory."""
+    try:
+        with zipfile.ZipFile(f) as archive:
+            infos = archive.infolist()
+    except pa.ArrowInvalid as e:        # a seek before the start of a file that is too short
+        raise zipfile.BadZipFile("File is not a zip file") from e
+    return len(infos), [i for i in infos if i.filename.lower().endswith(".csv")]
+
+
+class MemberStream:
+    """The unpacked bytes of a member whose directory entry is known.  Its checksum is tested when all
+    has been read, so that a wrong one costs no row."""
+
+    def __init__(self, f, info: zipfile.ZipInfo):
+        if info.flag_bits & 0x41:
+            raise RuntimeError(f"member {info.filename!r} is encrypted")
+        f.seek(info.header_offset)
+        header = f.read(30)
+        if header[:4] != b"PK\x03\x04":
+            raise zipfile.BadZipFile(f"no member begins at byte {info.header_offset}")
+        f.seek(info.header_offset + 30 + sum(struct.unpack("<HH", header[26:30])))
+        entry = zipfile.ZipInfo(info.filename)
+        entry.compress_size, entry.file_size, entry.compress_type = info.compress_size, info.file_size, info.compress_type
+        self.stream, self.expected, self.crc = zipfile.ZipExtFile(f, "r", entry), info.CRC, 0
+
+    def read(self, n: int) -> bytes:
+        chunk = self.stream.read(n)
+        if chunk:
+            self.crc = zlib.crc32(chunk, self.crc)
+        elif self.crc != self.expected:
+            raise zipfile.BadZipFile("bad CRC-32 of a member")
+        return chunk
+
+
+def _member_rows(f, info: zipfile.ZipInfo, columns: Sequence[str], found: dict) -> Iterator[pa.RecordBatch]:
+    """The rows of one member; ``found`` gets their number and the error."""
+    rows = None
     try:
-        return col.cast(pa.string())
-    except pa.ArrowInvalid:  # invalid UTF-8 somewhere in this column
-        return pa.array([None if v is None else v.decode("utf-8", "replace") for v in col.to_pylist()],
-                        pa.string())
+        rows = CsvRows(MemberStream(f, info).read, columns, FAULTS)
+        yield from rows.batches()
+    except FAULTS as e:
+        found["error"] = f"{type(e).__name__}: {e}"
+    if rows is not None:
+        found["rows"], found["error"] = rows.rows, found.get("error") or rows.error
 
 
 class Archive:
-    """One archive: ``batches`` yields its rows; the counts and the error grow with it."""
+    """One archive in memory: ``batches`` yields its rows; the counts and the error grow with it."""
 
     def __init__(self, content: bytes | None):
         self.content = content
@@ -79,154 +152,18 @@ class Archive:
     def batches(self, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
         if self.content is None:
             return
+        f = io.BytesIO(self.content)
         try:
-            with zipfile.ZipFile(io.BytesIO(self.content)) as zf:
-                names = zf.namelist()
-                self.members = len(names)
-                for name in names:
-                    if name.lower().endswith(".csv"):
-                        self.csv_members += 1
-                        with zf.open(name) as f:
-                            yield from self._member(f, columns)
-                        if self.error and not self.error.startswith("unclosed"):
-                            return
-        except _CORRUPT as e:
+            self.members, infos = _csv_members(f)
+        except FAULTS as e:
             self.error = f"{type(e).__name__}: {e}"
-
-    def _blocks(self, f) -> Iterator[bytes]:
-        """Whole lines, about ``BLOCK_BYTES`` at a time; a fault ends them and is remembered."""
-        pending: list[bytes] = []
-        size = 0
-        while True:
-            try:
-                chunk = f.read(CHUNK_BYTES)
-            except _CORRUPT as e:
-                self.error = f"{type(e).__name__}: {e}"
-                chunk, cut = b"", True
-            else:
-                cut = False
-            pending.append(chunk)
-            size += len(chunk)
-            if not chunk or size >= BLOCK_BYTES:
-                data = b"".join(pending)
-                end = len(data) if not chunk and not cut else data.rfind(b"\n") + 1
-                if end:
-                    yield data[:end]
-                pending, size = [data[end:]], len(data) - end
-            if not chunk:
-                return
-
-    def _member(self, f, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
-        blocks = self._blocks(f)
-        first = next(blocks, None)
-        if first is None:
             return
-        # the header is the first record; one that spans lines leaves the block to the csv module
-        line, _, rest = first.partition(b"\n")
-        if line.count(b'"') % 2:
-            yield from self._by_csv(first, blocks, None, columns)
-            return
-        header = next(csv.reader([line.decode("utf-8", "replace")]), [])
-        place = {name: i for i, name in enumerate(header)}          # last duplicate wins
-        block: bytes | None = rest
-        while block is not None:
-            if not header or _opens_quote(block):
-                yield from self._by_csv(block, blocks, place, columns)
-                return
-            for batch in _by_arrow(block, len(header), place, columns):
-                self.rows += batch.num_rows
-                yield batch
-            block = next(blocks, None)
-
-    def _by_csv(self, block: bytes, blocks: Iterator[bytes], place: dict[str, int] | None,
-                columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
-        record: list[str] = []          # the lines of the record being read
-
-        def lines() -> Iterator[str]:
-            for data in _chain(block, blocks):
-                for line in io.StringIO(data.decode("utf-8", "replace"), newline=""):
-                    record.append(line)
-                    yield line
-
-        rows: list[list[str]] = []
-        last: list[str] = []
-        try:
-            for row in csv.reader(lines()):
-                if place is None:
-                    place = {name: i for i, name in enumerate(row)}
-                elif row:
-                    rows.append(row)
-                last, record[:] = record[:], []
-                if len(rows) >= BATCH_ROWS:
-                    self.rows += len(rows)
-                    yield _from_rows(rows, place, columns)
-                    rows = []
-            if _unclosed(last):
-                self.error = self.error or "unclosed quote: a field runs to the end of its member"
-        except csv.Error as e:
-            self.error = f"{type(e).__name__}: {e}"
-        if rows:
-            self.rows += len(rows)
-            yield _from_rows(rows, place or {}, columns)
-
-
-def _chain(block: bytes, blocks: Iterator[bytes]) -> Iterator[bytes]:
-    yield block
-    yield from blocks
-
-
-def _unclosed(record: list[str]) -> bool:
-    """Whether the lines of a record end within a quoted field."""
-    try:
-        list(csv.reader(record, strict=True))
-    except csv.Error as e:
-        return "unexpected end" in str(e)
-    return False
-
-
-def _opens_quote(block: bytes) -> bool:
-    """Whether some line of the block has an odd number of quotes."""
-    if b'"' not in block:
-        return False
-    data = np.frombuffer(block, np.uint8)
-    before = np.cumsum(data == ord('"'))
-    return bool((before[data == ord("\n")] % 2).any() or before[-1] % 2)
-
-
-def _from_rows(rows: list[list[str]], place: dict[str, int], columns: Sequence[str]) -> pa.RecordBatch:
-    """Rows as lists of fields: pad / cut like DictReader."""
-    out = []
-    for c in columns:
-        i = place.get(c)
-        out.append([""] * len(rows) if i is None else [r[i] if i < len(r) else None for r in rows])
-    return pa.RecordBatch.from_arrays([pa.array(v, pa.string()) for v in out], names=list(columns))
-
-
-def _by_arrow(block: bytes, width: int, place: dict[str, int], columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    """A block whose lines all close their quotes; rows of another width go through the csv module."""
-    if not block.strip(b"\r\n"):
-        return
-    odd: list[str] = []
-
-    def on_invalid(row) -> str:
-        odd.append(row.text if isinstance(row.text, str) else row.text.decode("utf-8", "replace"))
-        return "skip"
-
-    names = [f"f{i}" for i in range(width)]
-    used = sorted({place[c] for c in columns if c in place}) or [0]
-    table = pacsv.read_csv(
-        io.BytesIO(block),
-        read_options=pacsv.ReadOptions(column_names=names, block_size=len(block) + 1, use_threads=False),
-        parse_options=pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=on_invalid),
-        convert_options=pacsv.ConvertOptions(
-            column_types={n: pa.binary() for n in names}, include_columns=[names[i] for i in used],
-            strings_can_be_null=False, quoted_strings_can_be_null=False))
-    if table.num_rows:
-        absent = pa.array([""] * table.num_rows, pa.string())
-        yield pa.RecordBatch.from_arrays([_as_text(table.column(names[place[c]])) if c in place else absent for c in columns],
-                                         names=list(columns))
-    if odd:
-        yield _from_rows([r for r in csv.reader(io.StringIO("\n".join(odd))) if r], place, columns)
+        self.csv_members = len(infos)
+        for info in infos:
+            found: dict = {"rows": 0}
+            yield from _member_rows(io.BytesIO(self.content), info, columns, found)
+            self.rows += found["rows"]
+            self.error = self.error or found.get("error")
 
 
 def archive_status_of(path: str, content: bytes | None) -> dict:
@@ -237,55 +174,158 @@ def archive_status_of(path: str, content: bytes | None) -> dict:
             "error": archive.error}
 
 
-def list_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """Every archive below ``root`` (any depth), content not yet materialised."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root).where(F.col("length") <= MAX_ARCHIVE)
-            .select("path", "content"))
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def oversized_archives(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """(path, length) of the archives below ``root`` that are too large to be read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root).where(F.col("length") > MAX_ARCHIVE).select("path", "length"))
+def list_archives(spark: SparkSession, root: str, glob: str = "*.zip",
+                  months: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """(path, modificationTime, length, content) of every archive below ``root`` (any depth); content is
+    only read if it is selected.  With ``months``, pairs of a year and a month, only the directories
+    ``year=<y>/month=<m>`` of these are listed."""
+    scan = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
+    if months is None:
+        return scan.load(root)
+    folders = [f"{root.rstrip('/')}/year={y}/month={m}" for y, m in dict.fromkeys(months)]
+    folders = [f for f in folders if _exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    return scan.load(folders)
 
 
-def extract_rows(files: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """(path, content) rows -> CSV rows as strings."""
+def members(archives: DataFrame) -> DataFrame:
+    """A row for each CSV member of ``archives`` (path): where it lies and how it is packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                blank = dict.fromkeys(_MEMBER_SCHEMA.names) | {"path": path, "members": 0, "csv_members": 0, "number": -1}
+                try:
+                    with _open(path) as f:
+                        n, infos = _csv_members(f)
+                except FAULTS as e:
+                    out = [blank | {"error": f"{type(e).__name__}: {e}"}]
+                else:
+                    blank |= {"members": n, "csv_members": len(infos)}
+                    out = [blank | {"number": i, "name": m.filename, "offset": m.header_offset, "packed": m.compress_size,
+                                    "size": m.file_size, "method": m.compress_type, "flags": m.flag_bits, "crc": m.CRC}
+                           for i, m in enumerate(infos)] or [blank]
+                yield pa.RecordBatch.from_pylist(out, schema=_MEMBER_SCHEMA)
+
+    return archives.select("path").mapInArrow(run, _MEMBERS)
+
+
+def _info(row: dict) -> zipfile.ZipInfo:
+    info = zipfile.ZipInfo(row["name"])
+    info.header_offset, info.compress_size, info.file_size = row["offset"], row["packed"], row["size"]
+    info.compress_type, info.flag_bits, info.CRC = row["method"], row["flags"], row["crc"]
+    return info
+
+
+def _leave(found: list[dict], folder: str) -> None:
+    """Write what a task found, replacing what an earlier attempt of it wrote."""
+    fs, base = filesystem(folder)
+    at = f"{base}/part-{TaskContext.get().partitionId():06d}.parquet"
+    temporary = f"{base}/_{uuid.uuid4().hex}"
+    papq.write_table(pa.Table.from_pylist(found, schema=_FOUND_SCHEMA), temporary, filesystem=fs)
+    fs.move(temporary, at)
+
+
+def _scanned(archives: DataFrame, columns: Sequence[str], status_to: str | None, path_as: str | None,
+             status_only: bool = False) -> DataFrame:
+    """The rows of ``archives``, or, with ``status_only``, a row of ``_FOUND`` for each member."""
+    spark = archives.sparkSession
     cols = list(columns)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+    size = archives.agg(F.sum("length").alias("bytes"), F.max("length").alias("largest"), F.first("path").alias("one")).first()
+    direct = size["one"] is None or _scheme(size["one"]) in _DIRECT
+    if direct:
+        tasks = max(spark.sparkContext.defaultParallelism, math.ceil((size["bytes"] or 0) / SPLIT_BYTES))
+        units = members(archives).repartition(tasks)
+    else:
+        if size["largest"] > MAX_CONTENT and not status_only:
+            raise ValueError(f"an archive of {size['largest']} bytes is too large for a store that only Spark opens")
+        units = archives.select("path", F.when(F.col("length") <= MAX_CONTENT, F.col("content")).alias("content"))
+
+    def rows_of(row: dict, found: list[dict]) -> Iterator[pa.RecordBatch]:
+        if direct:
+            own = {k: row[k] for k in ("path", "members", "csv_members", "number", "error")} | {"rows": 0}
+            if row["number"] >= 0:
+                with _open(row["path"]) as f:
+                    yield from _member_rows(f, _info(row), cols, own)
+        else:
+            archive = Archive(row["content"])
+            yield from archive.batches(cols)
+            own = {"path": row["path"], "members": archive.members, "csv_members": archive.csv_members, "number": 0,
+                   "rows": archive.rows, "error": archive.error if row["content"] is not None else "too large to be read"}
+        found.append(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            contents = b.column(b.schema.get_field_index("content"))
-            for i in range(b.num_rows):
-                yield from Archive(contents[i].as_py()).batches(cols)
+        found: list[dict] = []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                for out in rows_of(row, found):
+                    if not status_only:
+                        yield out.append_column(path_as, pa.array([row["path"]] * out.num_rows, pa.string())) if path_as else out
+                if status_only:
+                    yield pa.RecordBatch.from_pylist(found, schema=_FOUND_SCHEMA)
+                    found.clear()
+        if found and status_to:
+            _leave(found, status_to)
 
-    return files.select("content").mapInArrow(run, schema)
+    if status_only:
+        return units.mapInArrow(run, _FOUND)
+    names = [*cols, *([path_as] if path_as else [])]
+    return units.mapInArrow(run, T.StructType([T.StructField(c, T.StringType(), True) for c in names]))
+
+
+def scan_archives(archives: DataFrame, columns: Sequence[str] = RAW_COLUMNS, status_to: str | None = None,
+                  path_as: str | None = None) -> DataFrame:
+    """The rows of all CSV members of ``archives`` (rows of ``list_archives``) as strings.
+    ``status_to``: a folder for the status of what is read, emptied first; ``path_as``: the name of a
+    further column with the archive's path."""
+    if status_to:
+        archives.sparkSession.createDataFrame([], _FOUND).write.mode("overwrite").parquet(status_to)
+    return _scanned(archives, columns, status_to, path_as)
+
+
+def read_zip_csv(spark: SparkSession, root: str, columns: Sequence[str] = RAW_COLUMNS, glob: str = "*.zip",
+                 months: Sequence[tuple[int, int]] | None = None, status_to: str | None = None) -> DataFrame:
+    """All rows of all CSV members of all archives below ``root`` (of some ``months`` only, if given)."""
+    return scan_archives(list_archives(spark, root, glob, months), columns, status_to)
+
+
+def _by_archive(found: DataFrame) -> DataFrame:
+    """S3: one row per archive -- member counts, rows read, and the first error met (NULL when all was fine)."""
+    return (found.groupBy("path").agg(
+        F.max("members").alias("members"), F.max("csv_members").alias("csv_members"), F.sum("rows").alias("rows"),
+        F.min_by("error", F.when(F.col("error").isNotNull(), F.col("number"))).alias("error"))
+        .select(*STATUS_SCHEMA.fieldNames()))
 
 
-def read_zip_csv(spark: SparkSession, root: str, columns: Sequence[str] = RAW_COLUMNS,
-                 glob: str = "*.zip") -> DataFrame:
-    """All rows of all CSV members of all archives below ``root``."""
-    return extract_rows(list_archives(spark, root, glob), columns)
+def read_status(spark: SparkSession, folder: str) -> DataFrame:
+    """The status that a scan with ``status_to`` has left, by archive."""
+    return _by_archive(spark.read.schema(_FOUND).parquet(folder))
 
 
-def archive_status(spark: SparkSession, root: str, glob: str = "*.zip") -> DataFrame:
-    """S3: one row per archive -- member counts, rows read, and the error that made
-    ended a corrupt archive (NULL when the archive was fine)."""
+def archive_status(spark: SparkSession, root: str, glob: str = "*.zip",
+                   months: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """S3 by itself: reads the archives for their status only."""
+    return _by_archive(_scanned(list_archives(spark, root, glob, months), ["\0"], None, None, status_only=True))
+
+
+def extract_rows(files: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
+    """(content) rows, as a file stream gives them, -> CSV rows as strings."""
+    cols = list(columns)
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            paths = b.column(b.schema.get_field_index("path")).to_pylist()
             contents = b.column(b.schema.get_field_index("content"))
-            recs = [archive_status_of(p, contents[i].as_py()) for i, p in enumerate(paths)]
-            yield pa.RecordBatch.from_pylist(recs, schema=pa.schema([
-                ("path", pa.string()), ("members", pa.int32()), ("csv_members", pa.int32()),
-                ("rows", pa.int64()), ("error", pa.string())]))
+            for i in range(b.num_rows):
+                yield from Archive(contents[i].as_py()).batches(cols)
 
-    too_large = oversized_archives(spark, root, glob).select(
-        "path", F.lit(0).alias("members"), F.lit(0).alias("csv_members"), F.lit(0).cast("long").alias("rows"),
-        F.concat(F.lit("too large: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"))
-    return list_archives(spark, root, glob).mapInArrow(run, STATUS_SCHEMA).unionByName(too_large)
+    return files.select("content").mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------------------
@@ -314,9 +354,7 @@ def write_zip_archives(df: DataFrame, root: str, columns: Sequence[str] = RAW_CO
 
     def run(batches):
         import pyarrow.compute as pc
-        from pyspark import TaskContext
-        import pyarrow.fs as pafs
-        fs, base = pafs.FileSystem.from_uri(root)
+        fs, base = filesystem(root)
         groups: dict[tuple[str, str], list[pa.Table]] = {}
         for b in batches:
             t = pa.Table.from_batches([b])
