@@ -11,7 +11,7 @@ Defined results: null text and text without a letter are ``und`` with score 0; w
 row everything is ``und``; with one language each text with a letter gets it.  Repeated rows and
 null ids are scored like any other row; other columns are ignored.
 
-``calibrate`` adds floors to a model: the scores that spans of held-out labelled texts reach, by the
+``calibrated`` adds floors to a model: the scores that spans of held-out labelled texts reach, by the
 length of the span.  ``identified`` rejects a text of which less than a third lies in spans that reach
 the floor (see ``accepted``).  Spans too short to tell have no floor, nor has a model of one language,
 which has no classifier: there, texts with a letter stay.
@@ -84,33 +84,55 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return index[keep], np.concatenate([[0], np.cumsum(2 * (n + 2) - 3)])
 
 
-def _matrix(texts: list[str]) -> np.ndarray:
-    index, off = grams(pa.array(texts, pa.string()))
-    out = np.empty((len(texts), SIZE), np.float32)
-    for i in range(len(texts)):
-        own = index[off[i]:off[i + 1]]
-        out[i] = np.bincount(own, minlength=SIZE) / max(1, len(own))
-    return out
+@dataclass
+class Sparse:
+    """Relative frequencies of the features that each text has: ``feature`` and ``value`` by text at ``off``."""
+    off: np.ndarray
+    feature: np.ndarray
+    value: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.row = tx.owner(np.diff(self.off))
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.value * w[self.feature], len(self.off) - 1)
+
+    def columns(self, share: np.ndarray) -> np.ndarray:
+        """The sum of the texts, each times its ``share``."""
+        return np.bincount(self.feature, self.value * share[self.row], SIZE)
+
+
+def _sparse(texts: list[str]) -> Sparse:
+    """A slice of the texts at a time, so that only frequencies are held of them all."""
+    sizes, features, values = [np.zeros(1, np.int64)], [], []
+    for part in tx.slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], "text"):
+        index, off = grams(part.column("text"))
+        key, times = np.unique(tx.owner(np.diff(off)) * SIZE + index, return_counts=True)
+        row = key // SIZE
+        sizes.append(np.bincount(row, minlength=part.num_rows))
+        features.append((key % SIZE).astype(np.int32))
+        values.append((times / np.diff(off)[row]).astype(np.float32))
+    return Sparse(np.cumsum(np.concatenate(sizes)), np.concatenate(features), np.concatenate(values))
 
 
 def fit_svm(texts: list[str], positive: np.ndarray) -> np.ndarray:
     """Weights and bias of a linear SVM (squared hinge loss, both classes weighing the same) by
     accelerated gradient descent.  A span of 40 characters of each text is learned too, so that
     short texts are not strange to it."""
-    x = _matrix(texts + [t[len(t) // 2:][:40] for t in texts])
-    y = np.where(np.concatenate([positive, positive]), 1.0, -1.0).astype(np.float32)
-    scale = 1 / np.sqrt(x.mean(axis=0) + 1e-5)
-    x *= scale
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
-    rate = 1 / (2 * float(np.einsum("ij,ij,i->", x, x, share)) + 2 + DECAY)
-    w, b = np.zeros(SIZE, np.float32), 0.0
+    x = _sparse(texts + [t[len(t) // 2:][:40] for t in texts])
+    y = np.where(np.concatenate([positive, positive]), 1.0, -1.0)
+    scale = 1 / np.sqrt(x.columns(np.ones(len(y))) / len(y) + 1e-5)
+    x.value *= scale[x.feature].astype(np.float32)
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    rate = 1 / (2 * float((x.value.astype(np.float64) ** 2 * share[x.row]).sum()) + 2 + DECAY)
+    w, b = np.zeros(SIZE), 0.0
     old_w, old_b = w, b
     for step in range(STEPS):
         k = step / (step + 3)
         at_w, at_b = w + k * (w - old_w), b + k * (b - old_b)
-        slope = -2 * share * y * np.maximum(0, 1 - y * (x @ at_w + at_b))
+        slope = -2 * share * y * np.maximum(0, 1 - y * (x.times(at_w) + at_b))
         old_w, old_b = w, b
-        w, b = at_w - 4 * rate * (x.T @ slope + DECAY * at_w), at_b - 4 * rate * float(slope.sum())
+        w, b = at_w - 4 * rate * (x.columns(slope) + DECAY * at_w), at_b - 4 * rate * float(slope.sum())
     return np.append(w * scale, b).astype(np.float32)
 
 
@@ -217,14 +239,16 @@ def spans(text: str) -> list[str]:
     return [joined[i:j] for i, j in zip(cut, cut[1:])]
 
 
-def calibrate(model: Model, labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """``model`` with floors: a model of four fifths of ``labelled`` scores spans of the other fifth (at
-    most ``per_language`` texts a language, cut to each length of ``SPANS``)."""
+def calibrated(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+    """A model of ``labelled`` with floors: a model of four fifths of the rows scores spans of the other
+    fifth (at most ``per_language`` texts a language, cut to each length of ``SPANS``)."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
     learned = fit(rows.where(~held), per_language)
+    whole = fit(rows, per_language)
     if not learned.weights:
-        return model
+        return whole
+    known = [lang for own in learned.families.values() for lang in own]
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
@@ -236,7 +260,6 @@ def calibrate(model: Model, labelled: DataFrame, per_language: int = PER_LANGUAG
                     score, other = (decide(learned, pa.array(x, pa.string()))[1] for x in (cut, mixed))
                     yield pd.DataFrame({"length": k, "score": score, "other": other})
 
-    known = [lang for own in learned.families.values() for lang in own]
     texts = sampling.sample(rows, "lang", rows.where(held & F.col("lang").isin(known)), per_language)
     found = (texts.mapInPandas(one, "length int, score double, other double").groupBy("length")
              .agg(F.count("*").alias("n"), F.percentile_approx("score", [0.1, 0.5], 10000).alias("q"),
@@ -245,7 +268,7 @@ def calibrate(model: Model, labelled: DataFrame, per_language: int = PER_LANGUAG
     for r in found:
         if r.n >= ENOUGH:
             floors[r.length] = max(0.0, min((r.q[1] + r.other) / 2, r.q[1] - REACH * (r.q[1] - r.q[0])))
-    return Model(model.families, model.weights, tuple(floors))
+    return Model(whole.families, whole.weights, tuple(floors))
 
 
 def accepted(model: Model, column: pa.Array) -> np.ndarray:

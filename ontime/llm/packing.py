@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ontime.llm import text as tx
 
 #: The most words whose ids a Python worker remembers between batches.
-VOCABULARY = 1_000_000
+VOCABULARY = 1 << 18
 #: The most pieces that wait for a bin while more texts arrive.
 POOL = 512
 PIECES = ("doc_id long, start long, length long, ids binary, loss_tokens long, doc_tokens long, "

@@ -96,7 +96,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame ------------------------------
 
 def identified_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language.identified(docs, language.calibrate(language.fit(docs), docs))
+    return language.identified(docs, language.calibrated(docs))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,11 +63,15 @@ def words(data: np.ndarray, off: np.ndarray, space: np.ndarray = SPACE) -> tuple
 
 
 def _table(name: str, base: np.uint64, n: int) -> np.ndarray:
-    if len(_powers[name]) < n:
-        grown = np.full(max(n, CHUNK + 1), base, np.uint64)
-        grown[0] = 1
-        _powers[name] = np.cumprod(grown)
-    return _powers[name]
+    """Powers of ``base``; no more are kept than a slice of texts needs."""
+    if len(_powers[name]) >= n:
+        return _powers[name]
+    grown = np.full(max(n, CHUNK + 1), base, np.uint64)
+    grown[0] = 1
+    np.cumprod(grown, out=grown)
+    if n <= CHUNK + 1:
+        _powers[name] = grown
+    return grown
 
 
 def mix(h: np.ndarray) -> np.ndarray:
