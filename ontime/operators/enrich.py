@@ -3,12 +3,12 @@
 Plan shape (what ``explain`` shows):
 
 * the station map (one row per airport) is staged as a small Parquet table and
-  broadcast after its row count is checked, so attaching origin and destination
+  broadcast after its size in bytes is checked, so attaching origin and destination
   stations is two map-side hash lookups -- the fact table is not shuffled for them;
 * weather is cut to the mapped stations by a broadcast left-semi join and to the 11
   carried columns, de-duplicated (one aggregate, one shuffle on (station, date)) and
-  staged as well; its written row count decides the join strategy:
-  - up to ``max_broadcast_rows``: broadcast hash joins, so the whole enrichment is
+  staged as well; the bytes of its values decide the join strategy:
+  - up to ``max_broadcast_bytes``: broadcast hash joins, so the whole enrichment is
     one map-only pass over the flights;
   - beyond: equi-joins on (station, date) that shuffle the flights; a hot airport is
     spread over its dates, flights without a station (NULL key) are spread by date,
@@ -20,24 +20,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ontime.operators.joins import MAX_BROADCAST_ROWS, bounded_broadcast
+from ontime.operators.joins import MAX_BROADCAST_BYTES, bounded_broadcast, payload_bytes
 from ontime.operators.weather import dedupe_weather
 from ontime.schema import CLEAN_COLUMNS, ENRICH_WEATHER, ENRICHED_COLUMNS
 
 
-def attach_stations(flights: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
+def attach_stations(flights: DataFrame, mapping: DataFrame, mapping_bytes: int | None = None) -> DataFrame:
     """Left-join the station of the origin and of the destination airport."""
-    m = bounded_broadcast(mapping.select("iata", "station_id"), rows=mapping_rows)
+    m = bounded_broadcast(mapping.select("iata", "station_id"), size=mapping_bytes)
     origin = m.select(F.col("iata").alias("origin"), F.col("station_id").alias("origin_station"))
     dest = m.select(F.col("iata").alias("dest"), F.col("station_id").alias("dest_station"))
     return flights.join(origin, "origin", "left").join(dest, "dest", "left")
 
 
-def weather_for_mapped(weather: DataFrame, mapping: DataFrame, mapping_rows: int | None = None) -> DataFrame:
+def weather_for_mapped(weather: DataFrame, mapping: DataFrame, mapping_bytes: int | None = None) -> DataFrame:
     """Weather rows of mapped stations only, pruned to what the enrichment carries,
     de-duplicated per (station, date).  Result-neutral rewrite of the plain dedupe:
     other stations can never match a flight."""
-    stations = bounded_broadcast(mapping.select("station_id").distinct(), rows=mapping_rows)
+    stations = bounded_broadcast(mapping.select("station_id").distinct(), size=mapping_bytes)
     keep = ["station_id", "weather_date"] + (["stn"] if "stn" in weather.columns else []) + ENRICH_WEATHER
     w = weather.select(*keep).join(stations, "station_id", "left_semi")
     return dedupe_weather(w)
@@ -56,11 +56,11 @@ def _salted(station: str) -> F.Column:
     return F.coalesce(F.col(station), F.concat(F.lit("\u0000null-"), salt.cast("string")))
 
 
-def join_weather(flights_with_stations: DataFrame, weather_dedup: DataFrame, weather_rows: int | None = None,
-                 max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def join_weather(flights_with_stations: DataFrame, weather_dedup: DataFrame, weather_bytes: int | None = None,
+                 max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Left-join the day's weather at both ends; columns prefixed by role."""
     wx = weather_dedup
-    small = weather_rows is not None and weather_rows <= max_broadcast_rows
+    small = weather_bytes is not None and weather_bytes <= max_broadcast_bytes
     if small:
         wx = F.broadcast(wx)
 
@@ -77,14 +77,15 @@ def join_weather(flights_with_stations: DataFrame, weather_dedup: DataFrame, wea
 
 
 def enrich(flights: DataFrame, mapping: DataFrame, weather: DataFrame,
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """flights_clean + station ids + origin_/dest_ weather: 60 columns, one row per flight.
 
     ``mapping`` is the airport->station map (iata, station_id, ...), ``weather`` the
     typed, not yet de-duplicated daily table (e.g. from ``load_weather``).  Both small
     sides are staged under the shared checkpoint folder (see ``stage_table``)."""
     from ontime.sources.sinks import stage_table
-    m, m_rows = stage_table(mapping.select("iata", "station_id"), "airport_station")
-    f = attach_stations(flights.select(*CLEAN_COLUMNS), m, m_rows)
-    wx, wx_rows = stage_table(weather_for_mapped(weather, m, m_rows), "weather_mapped")
-    return join_weather(f, wx, wx_rows, max_broadcast_rows)
+    m, _ = stage_table(mapping.select("iata", "station_id"), "airport_station")
+    m_bytes = payload_bytes(m)
+    f = attach_stations(flights.select(*CLEAN_COLUMNS), m, m_bytes)
+    wx, _ = stage_table(weather_for_mapped(weather, m, m_bytes), "weather_mapped")
+    return join_weather(f, wx, payload_bytes(wx), max_broadcast_bytes)

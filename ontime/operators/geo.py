@@ -40,10 +40,8 @@ def active_stations(stations: DataFrame, active_since: str = "20190101", country
     (``end``, then ``usaf``) instead of two independent arbitrary picks.  ``max_by``
     is an ordinary aggregate, so a WBAN with many rows is pre-reduced map-side.
     """
-    # comparisons with a null are not true, so a missing code, country or end date drops its row
-    placed = F.concat(F.col("lat").cast("string"), F.col("lon").cast("string")).isNotNull()
-    listed = (F.col("end") >= active_since) & (F.col("country") == country) & ~F.col("wban").isin(sentinel_wban)
-    s = stations.where(listed & placed)
+    s = stations.dropna(subset=["lat", "lon"]).where(
+        (F.col("country") == country) & (F.col("wban") != sentinel_wban) & (F.col("end") >= active_since))
     order = F.struct("end", "usaf") if "usaf" in stations.columns else F.struct("end")
     best = s.groupBy("wban").agg(
         F.max_by(F.struct(F.col("lat").try_cast("double").alias("lat"),

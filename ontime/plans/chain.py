@@ -36,16 +36,20 @@ def enriched(spark: SparkSession, d: str) -> DataFrame:
     return enrich(tb.flights(spark, d), mapping(spark, d), weather(spark, d))
 
 
-def staged(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """``build()`` written once per (application, input folder) as Parquet under the
-    shared checkpoint folder; later calls scan the files."""
+def staged_path(spark: SparkSession, d: str, name: str, write: Callable[[str], object]) -> str:
+    """A folder that ``write`` fills once per (application, input folder), under the shared
+    checkpoint folder."""
     key = (spark.sparkContext.applicationId, d, name)
-    path = _STAGED.get(key)
-    if path is None:
+    if key not in _STAGED:
         path = shared_dir(spark, name)
-        build().write.mode("overwrite").parquet(path)
+        write(path)
         _STAGED[key] = path
-    return spark.read.parquet(path)
+    return _STAGED[key]
+
+
+def staged(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()`` written as Parquet by ``staged_path``; later calls scan the files."""
+    return spark.read.parquet(staged_path(spark, d, name, lambda path: build().write.parquet(path)))
 
 
 def fact_table(spark: SparkSession, d: str) -> DataFrame:

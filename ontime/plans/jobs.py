@@ -1,6 +1,7 @@
 """Batch jobs: the job-level entry points, in their run order.
 
-    clean   archives (year=/month=/*.zip)      -> flights_clean (year=/month= Parquet) + archive status
+    clean   archives (year=/month=/*.zip)      -> flights_clean (year=/month= Parquet) + archive status and counts
+            (--incremental: new and replaced archives only)
     map     airports + stations tables         -> airport_station lookup
     enrich  flights_clean + lookup + weather   -> flights_weather_enriched (day-partitioned)
     tables  enriched fact                      -> the five dashboard view tables (S13/S14)
@@ -20,9 +21,11 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ontime.ml import evaluate as ev
 from ontime.ml import explain, features, models
@@ -31,9 +34,11 @@ from ontime.operators.enrich import enrich
 from ontime.operators.geo import airport_station_map
 from ontime.operators.weather import load_weather
 from ontime.plans import reports, views
-from ontime.session import BASE_CONF
+from ontime.session import BASE_CONF, shared_dir
 from ontime.sources import sinks, zipcsv
+from ontime.sources.catalog import remove, replace_table, table_family
 from ontime.sources.tables import read_source
+from ontime.streaming.ledger import sync_archives
 
 
 @dataclass
@@ -54,13 +59,34 @@ class Config:
     cutoff: str = features.CUTOFF
     boosted_params: dict = field(default_factory=dict)
     as_of: dt.datetime | None = None
-
-
-def clean_job(spark: SparkSession, raw_root: str, out_root: str) -> DataFrame:
-    """Archives -> ``<out>/flights_clean`` and ``<out>/archive_status``; returns the status."""
-    sinks.write_clean(clean_flights(zipcsv.read_zip_csv(spark, raw_root)), f"{out_root}/flights_clean")
-    sinks.write_table(zipcsv.archive_status(spark, raw_root), f"{out_root}/archive_status")
-    return spark.read.parquet(f"{out_root}/archive_status")
+    incremental: bool = False
+    named: bool = False
+
+
+def clean_job(spark: SparkSession, raw_root: str, out_root: str, months: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """Archives -> ``<out>/flights_clean``, ``<out>/archive_status`` and ``<out>/clean_counts``; returns the
+    status.  Every archive is opened once: the tasks that read rows leave the status too.  The counts (archives,
+    faulty ones, rows read, rows written) come from that status and from the footers of the written files, which
+    hold for the tasks that were committed (an observed metric may count a repeated task twice).
+    ``months``: only these months' directories are read and rewritten."""
+    left_at = shared_dir(spark, "archive-status")
+    raw = zipcsv.read_zip_csv(spark, raw_root, months=months, status_to=left_at)
+    sinks.write_clean(clean_flights(raw), f"{out_root}/flights_clean", dynamic=months is not None)
+    sinks.write_table(zipcsv.read_status(spark, left_at), f"{out_root}/archive_status")
+    remove(spark, left_at)
+    status = spark.read.parquet(f"{out_root}/archive_status")
+    rows = spark.read.parquet(f"{out_root}/flights_clean").count()
+    sinks.write_table(status.agg(
+        F.count(F.lit(1)).alias("archives"), F.count("error").alias("faulty"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_read"), F.lit(rows).cast("long").alias("rows_written")),
+        f"{out_root}/clean_counts")
+    return status
+
+
+def sync_job(spark: SparkSession, raw_root: str, out_root: str) -> dict[str, int]:
+    """Brings ``<out>/flights_clean`` up to the archives, reading new and replaced ones only
+    (``<out>/archive_ledger`` knows the others)."""
+    return sync_archives(spark, raw_root, f"{out_root}/flights_clean", f"{out_root}/archive_ledger")
 
 
 def map_job(spark: SparkSession, airports: str | DataFrame, stations: str | DataFrame, out_root: str,
@@ -74,15 +100,22 @@ def map_job(spark: SparkSession, airports: str | DataFrame, stations: str | Data
 
 def enrich_job(spark: SparkSession, weather: str | DataFrame, out_root: str, start_year: int = 2019,
                end_year: int = 2025) -> None:
-    """flights_clean + lookup + daily weather -> ``<out>/flights_weather_enriched``."""
+    """flights_clean + lookup + daily weather -> ``<out>/flights_weather_enriched``.  ``weather``: one table, or
+    ``<prefix>*`` for the catalog's yearly tables ``<prefix><year>``, of which none may be missing."""
     flights = sinks.read_clean(spark, f"{out_root}/flights_clean")
     mapping = spark.read.parquet(f"{out_root}/airport_station")
+    if isinstance(weather, str) and weather.endswith("*"):
+        family = table_family(spark, weather[:-1], start_year, end_year)
+        if family.missing:
+            raise ValueError(f"no table {family.prefix}<year> for {family.missing}")
+        weather = family.read(spark)
     wx = load_weather(read_source(spark, weather), start_year, end_year)
     sinks.write_fact(enrich(flights, mapping, wx), f"{out_root}/flights_weather_enriched")
 
 
-def tables_job(spark: SparkSession, out_root: str, airports: str | DataFrame) -> list[str]:
-    """The dashboard views materialised as tables (what a BI tool reads)."""
+def tables_job(spark: SparkSession, out_root: str, airports: str | DataFrame, named: bool = False) -> list[str]:
+    """The dashboard views materialised as tables (what a BI tool reads); ``named``: also under their names
+    in the catalog, each replaced as a whole."""
     fact = sinks.read_fact(spark, f"{out_root}/flights_weather_enriched")
     out = {"v_monthly_ontime_trend": views.monthly_ontime_trend(fact),
            "v_delay_cause_breakdown": views.delay_cause_breakdown(fact),
@@ -91,6 +124,8 @@ def tables_job(spark: SparkSession, out_root: str, airports: str | DataFrame) ->
            "v_airline_kpi": views.airline_kpi(fact)}
     for name, df in out.items():
         sinks.write_table(df, f"{out_root}/{name}")
+        if named:
+            replace_table(spark.read.parquet(f"{out_root}/{name}"), name, f"{out_root}/named")
     return list(out)
 
 
@@ -129,10 +164,10 @@ def models_job(spark: SparkSession, out_root: str, cutoff: str = features.CUTOFF
 
 
 JOBS = {
-    "clean": lambda s, c: clean_job(s, c.raw, c.out),
+    "clean": lambda s, c: sync_job(s, c.raw, c.out) if c.incremental else clean_job(s, c.raw, c.out),
     "map": lambda s, c: map_job(s, c.airports, c.stations, c.out, c.max_km, c.box_deg, c.active_since, c.mode),
     "enrich": lambda s, c: enrich_job(s, c.weather, c.out, c.start_year, c.end_year),
-    "tables": lambda s, c: tables_job(s, c.out, c.airports),
+    "tables": lambda s, c: tables_job(s, c.out, c.airports, c.named),
     "reports": lambda s, c: reports_job(s, c.out, c.min_flights),
     "models": lambda s, c: models_job(s, c.out, c.cutoff, c.boosted_params, c.as_of),
 }
@@ -150,9 +185,13 @@ def main(argv: list[str] | None = None) -> None:
     defaults = Config(out="")
     for f in fields(Config):
         value = getattr(defaults, f.name)
+        option = "--" + f.name.replace("_", "-")
+        if isinstance(value, bool):
+            p.add_argument(option, action="store_true")
+            continue
         kind = {"boosted_params": json.loads, "as_of": dt.datetime.fromisoformat}.get(f.name)
         kind = kind or (type(value) if value not in (None, "") else str)
-        p.add_argument("--" + f.name.replace("_", "-"), type=kind, default=value, required=f.name == "out")
+        p.add_argument(option, type=kind, default=value, required=f.name == "out")
     a = vars(p.parse_args(argv))
     job = a.pop("job")
     builder = SparkSession.builder.appName(f"ontime-{job}")

@@ -14,6 +14,7 @@ from ontime.plans.oracles import WX_COLS, cte_sql, r2, sdiv
 from ontime.plans.registry import register
 from ontime.schema import CLEAN_COLUMNS, ENRICHED_COLUMNS, WEATHER_COLUMNS
 from ontime.sources import tables
+from ontime.sources.catalog import table_family
 from ontime.sources.sinks import stage_table
 from ontime.sources import testbed as tb
 
@@ -68,9 +69,21 @@ def q_map_exact(spark, d):
 @register("weather_union", cte_sql(f"SELECT station_id, weather_date, {', '.join(WX_COLS)}, stn FROM tb_weather",
                                    "tb_weather"), "weather")
 def q_weather_union(spark, d):
-    """One frame for each year, unioned by name."""
+    """The yearly tables of the catalog, found by their common name."""
+    return load_weather(table_family(spark, _yearly_weather(spark, d), chain.START_YEAR, chain.END_YEAR).read(spark),
+                        chain.START_YEAR, chain.END_YEAR)
+
+
+def _yearly_weather(spark, d) -> str:
+    """The test bed's readings as one saved table a year, written once per application; their prefix."""
     raw = tb.weather_raw(spark, d)
-    return load_weather(lambda year: raw.where(F.col("year").try_cast("int") == year), chain.START_YEAR, chain.END_YEAR)
+    kept = raw.where(F.col("year").try_cast("int").between(chain.START_YEAR, chain.END_YEAR))
+    path = chain.staged_path(spark, d, "weather_by_year", lambda p: kept.withColumn("_y", F.col("year").try_cast("int"))
+                             .write.partitionBy("_y").parquet(p))
+    prefix = "weather_" + path.rsplit("-", 1)[1] + "_"
+    for y in range(chain.START_YEAR, chain.END_YEAR + 1):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{y} USING parquet LOCATION '{path}/_y={y}'")
+    return prefix
 
 
 @register("nearest_k3", cte_sql(

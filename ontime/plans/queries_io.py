@@ -44,7 +44,7 @@ def q_fact_roundtrip(spark, d):
 _ARCHIVES: dict[tuple[str, str], str] = {}
 
 
-def _archives(spark, d) -> str:
+def archives(spark, d) -> str:
     """Monthly archives rendered from the supplied tables, written once per
     application (the ingest keys then measure reading them)."""
     key = (spark.sparkContext.applicationId, d)
@@ -57,29 +57,33 @@ def _archives(spark, d) -> str:
 
 @register("zip_csv_ingest", _CLEAN_SQL, "io")
 def q_zip_csv_ingest(spark, d):
-    return clean_flights(zipcsv.read_zip_csv(spark, _archives(spark, d)))
+    return clean_flights(zipcsv.read_zip_csv(spark, archives(spark, d)))
 
 
 _MONTH = "substr(coalesce(FlightDate, ''), 6, 2)"
-_DIRS_SQL = cte_sql(
-    "SELECT CASE WHEN regexp_full_match(substr(coalesce(FlightDate, ''), 1, 4), '[0-9]{4}') "
-    "THEN substr(FlightDate, 1, 4) ELSE 'unknown' END AS year, "
-    f"CASE WHEN regexp_full_match({_MONTH}, '[0-9]+') THEN CAST(CAST({_MONTH} AS INTEGER) AS VARCHAR) "
-    "ELSE 'unknown' END AS month, CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS errors "
-    "FROM tb_raw_flights GROUP BY 1, 2", "tb_raw_flights")
 
 
-@register("archive_status", _DIRS_SQL, "io")
+def by_directory_sql(columns: str) -> str:
+    """Oracle over (year, month, rows) of the directories that the archives lie in."""
+    return cte_sql(
+        f"SELECT year, month, {columns} FROM ("
+        "SELECT CASE WHEN regexp_full_match(substr(coalesce(FlightDate, ''), 1, 4), '[0-9]{4}') "
+        "THEN substr(FlightDate, 1, 4) ELSE 'unknown' END AS year, "
+        f"CASE WHEN regexp_full_match({_MONTH}, '[0-9]+') THEN CAST(CAST({_MONTH} AS INTEGER) AS VARCHAR) "
+        "ELSE 'unknown' END AS month, CAST(count(*) AS BIGINT) AS rows FROM tb_raw_flights GROUP BY 1, 2) d", "tb_raw_flights")
+
+
+@register("archive_status", by_directory_sql("rows, CAST(0 AS BIGINT) AS errors"), "io")
 def q_archive_status(spark, d):
     """S3 by directory (how many archives a month has depends on the input's partitions)."""
     part = [F.regexp_extract("path", f"{k}=([^/]*)/", 1).alias(k) for k in ("year", "month")]
-    return zipcsv.archive_status(spark, _archives(spark, d)).groupBy(*part).agg(
+    return zipcsv.archive_status(spark, archives(spark, d)).groupBy(*part).agg(
         F.sum("rows").alias("rows"), F.count_if(F.col("error").isNotNull()).alias("errors"))
 
 
 @register("incremental_ingest", _CLEAN_SQL, "io")
 def q_incremental_ingest(spark, d):
-    root = _archives(spark, d)
+    root = archives(spark, d)
     out, ckpt = shared_dir(spark, "ingested"), shared_dir(spark, "ingest_checkpoint")
     ingest_new_archives(spark, root, out, ckpt)
     ingest_new_archives(spark, root, out, ckpt)   # a re-run finds nothing new
@@ -91,6 +95,6 @@ def q_incremental_ingest(spark, d):
     "tb_raw_flights"), "io")
 def q_archive_totals(spark, d):
     """S3 totals: every rendered flight is read back from some archive; none is corrupt."""
-    st = zipcsv.archive_status(spark, _archives(spark, d))
+    st = zipcsv.archive_status(spark, archives(spark, d))
     return st.agg(F.sum("rows").cast("bigint").alias("rows"),
                   F.count_if(F.col("error").isNotNull()).alias("corrupt_archives"))

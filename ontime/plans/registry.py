@@ -43,6 +43,7 @@ def _load_all() -> None:
     from ontime.plans import queries_geo  # noqa: F401
     from ontime.plans import queries_ml  # noqa: F401
     from ontime.plans import queries_io  # noqa: F401
+    from ontime.plans import queries_tables  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ontime.schema import RAW_COLUMNS
+from ontime.sources.catalog import exists
 from ontime.sources.csvrows import CsvRows
 
 #: Largest value of the binary column of the ``content`` way.
@@ -174,11 +175,6 @@ def archive_status_of(path: str, content: bytes | None) -> dict:
             "error": archive.error}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
-
-
 def list_archives(spark: SparkSession, root: str, glob: str = "*.zip",
                   months: Sequence[tuple[int, int]] | None = None) -> DataFrame:
     """(path, modificationTime, length, content) of every archive below ``root`` (any depth); content is
@@ -188,7 +184,7 @@ def list_archives(spark: SparkSession, root: str, glob: str = "*.zip",
     if months is None:
         return scan.load(root)
     folders = [f"{root.rstrip('/')}/year={y}/month={m}" for y, m in dict.fromkeys(months)]
-    folders = [f for f in folders if _exists(spark, f)]
+    folders = [f for f in folders if exists(spark, f)]
     if not folders:
         return spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
     return scan.load(folders)

@@ -71,7 +71,7 @@ def test_shuffle_path_equals_broadcast_path(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b = enrich(*args, max_broadcast_rows=0)        # forces the salted shuffle joins
+        b = enrich(*args, max_broadcast_bytes=0)        # forces the salted shuffle joins
         rb = sorted(map(tuple, b.collect()), key=str)
         plan = b._jdf.queryExecution().executedPlan().toString()
     finally:
