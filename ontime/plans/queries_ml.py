@@ -13,11 +13,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ontime.ml import evaluate as ev
-from ontime.ml import explain, features, models
+from ontime.ml import compiled, explain, features, models
 from ontime.plans import chain
 from ontime.plans.oracles import cte_sql, r2, register_cte
 from ontime.plans.registry import register
@@ -146,24 +145,79 @@ def q_train_logistic(spark, d):
                      (gap <= F.col("weight") * _SCORE_TOLERANCE).alias("balanced"))
 
 
+# the root split of a first tree, by brute force: labels as -1 / 1, variance with class weights; categories in
+# order of their mean, numbers in their own (missing ones at the mean of the others); every cut is a candidate
+_STUMP_NUMBERS = ["dep_hour", "day_of_week", "month"]
+register_cte("tb_stump", (
+    "SELECT t.reporting_airline, t.origin, t.dest, "
+    + ", ".join(f"coalesce(CAST(t.{f} AS DOUBLE), m.{f}) AS {f}" for f in _STUMP_NUMBERS)
+    + ", CAST(count(*) OVER () AS DOUBLE) / (2 * count(*) OVER (PARTITION BY t.is_delayed_15)) AS w, "
+    "2.0 * t.is_delayed_15 - 1.0 AS y FROM tb_train t CROSS JOIN (SELECT "
+    + ", ".join(f"avg(CAST({f} AS DOUBLE)) AS {f}" for f in _STUMP_NUMBERS) + " FROM tb_train) m"), ["tb_train"])
+register_cte("tb_stump_values", " UNION ALL ".join(
+    [f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS v, sum(w * y) / sum(w) AS place, sum(w) AS w, sum(w * y) AS wy, count(*) AS n "
+     f"FROM tb_stump GROUP BY {f}" for f in ("reporting_airline", "origin", "dest")]
+    + [f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS v, {f} AS place, sum(w) AS w, sum(w * y) AS wy, count(*) AS n "
+       f"FROM tb_stump GROUP BY {f}" for f in _STUMP_NUMBERS]), ["tb_stump"])
+register_cte("tb_stump_best", (
+    "SELECT feature, least(nl, nt - nl) AS small_side, greatest(nl, nt - nl) AS large_side FROM ("
+    "SELECT *, row_number() OVER (ORDER BY sl * sl / wl + (st - sl) * (st - sl) / (wt - wl) DESC) AS place_ FROM ("
+    "SELECT feature, sum(w) OVER b AS wl, sum(wy) OVER b AS sl, sum(n) OVER b AS nl, sum(w) OVER f AS wt, sum(wy) OVER f AS st, "
+    "sum(n) OVER f AS nt, count(*) OVER f AS cuts, row_number() OVER b AS cut FROM tb_stump_values "
+    "WINDOW f AS (PARTITION BY feature), b AS (PARTITION BY feature ORDER BY place, v ROWS UNBOUNDED PRECEDING)) c "
+    "WHERE cut < cuts) r WHERE place_ = 1"), ["tb_stump_values"])
+
+
+def _stump_rows(rows):
+    """The rows with the features that have more values than cut candidates made constant."""
+    return rows.select(*[F.lit(0.0).alias(c) if c in features.FEATURES and c not in _STUMP_NUMBERS and c in NUMERIC_FEATURES
+                         else F.col(c) for c in rows.columns])
+
+
+def _stump(spark, d):
+    train = _stump_rows(features.training_set(_fact(spark, d)))
+    return models.fit_or_load(spark, models.BOOSTED, train, d, maxIter=1, maxDepth=1, subsamplingRate=1.0)
+
+
 @register("train_boosted", cte_sql(
-    "SELECT feature, TRUE AS within, CAST(1.0 AS DOUBLE) AS total FROM tb_features", "tb_features"), "ml")
+    "SELECT feature, CAST(small_side AS BIGINT) AS small_side, CAST(large_side AS BIGINT) AS large_side FROM tb_stump_best",
+    "tb_stump_best"), "ml")
 def q_train_boosted(spark, d):
-    """M4: split-gain importances of every feature, each a share of one."""
-    _, _, ms = _models(spark, d, (models.BOOSTED,))
-    imp = explain.tree_importance(spark, ms[models.BOOSTED])         # one row a feature
-    return imp.select("feature", F.col("attribution").between(0.0, 1.0).alias("within"),
-                      F.round(F.sum("attribution").over(Window.partitionBy()), _DIGITS).alias("total"))
+    """M4: the first split of boosted trees, and the flights on either side, found by brute force too."""
+    root = compiled.trees(spark, _stump(spark, d))[0]
+    sides = sorted((root.rows[root.left[0]], root.rows[root.right[0]]))
+    return spark.createDataFrame([(features.FEATURES[root.feature[0]], *sides)], "feature string, small_side long, large_side long")
 
 
 @register("score_holdout", cte_sql(
     "SELECT model_type, CAST(is_delayed_15 AS INTEGER) AS label, CAST(count(*) AS BIGINT) AS flights, "
-    "CAST(count(*) AS BIGINT) AS probabilities FROM tb_holdout CROSS JOIN tb_models GROUP BY 1, 2",
+    "CAST(count(*) AS BIGINT) AS agreeing FROM tb_holdout CROSS JOIN tb_models GROUP BY 1, 2",
     "tb_holdout", "tb_models"), "ml")
 def q_score_holdout(spark, d):
-    """Every eligible hold-out flight scored once by each model, with a probability."""
-    return _holdout_scores(spark, d).groupBy("model_type", "label").agg(
-        F.count(F.lit(1)).alias("flights"), F.count_if(F.col("p").between(0.0, 1.0)).alias("probabilities"))
+    """Every eligible hold-out flight scored by each model, and by the model compiled to an expression:
+    the probabilities that agree to 1e-9."""
+    fact, _, ms = _models(spark, d)
+    hold = features.holdout_set(fact)
+    out = None
+    for kind, m in ms.items():
+        both = models.score(m, compiled.score_compiled(m, hold, "q"), kind, keep=("q",))
+        out = both if out is None else out.unionByName(both)
+    return out.groupBy("model_type", "label").agg(
+        F.count(F.lit(1)).alias("flights"), F.count_if(F.abs(F.col("p") - F.col("q")) <= 1e-9).alias("agreeing"))
+
+
+@register("tree_paths", cte_sql(
+    "SELECT CAST(count(*) AS BIGINT) AS flights, CAST(count(*) AS BIGINT) AS additive FROM tb_holdout", "tb_holdout"), "ml")
+def q_tree_paths(spark, d):
+    """On every hold-out flight the bias and the path contributions add up to the boosted model's margin."""
+    fact, _, ms = _models(spark, d, (models.BOOSTED,))
+    scored = models.score(ms[models.BOOSTED], features.holdout_set(fact, keep=()), models.BOOSTED, keep=tuple(features.FEATURES))
+    rows, bias = compiled.path_contributions(ms[models.BOOSTED], scored, keep=("p",))
+    margin = F.lit(bias)
+    for f in features.FEATURES:
+        margin = margin + F.col(f)
+    agrees = F.abs(F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * margin)) - F.col("p")) <= 1e-9
+    return rows.agg(F.count(F.lit(1)).alias("flights"), F.count_if(agrees).alias("additive"))
 
 
 def _from_cells(scored):
@@ -265,10 +319,9 @@ def q_linear_attribution(spark, d):
 
 
 @register("permutation_importance", cte_sql(
-    "SELECT 'boosted_tree' AS model_type, feature, TRUE AS within FROM tb_features", "tb_features"), "ml")
+    "SELECT f.feature, f.feature = b.feature AS matters FROM tb_features f CROSS JOIN tb_stump_best b",
+    "tb_features", "tb_stump_best"), "ml")
 def q_permutation_importance(spark, d):
-    """M10, model-agnostic: AUC drop per permuted feature for the boosted model on the hold-out year."""
-    fact, _, ms = _models(spark, d, (models.BOOSTED,))
-    pi = explain.permutation_importance(ms[models.BOOSTED], features.holdout_set(fact))
-    return pi.select(F.lit(models.BOOSTED).alias("model_type"), "feature",
-                     F.col("attribution").between(-1.0, 1.0).alias("within"))
+    """M10, model-agnostic: the AUC of a one-split model changes with its own feature permuted, and with no other."""
+    pi = explain.permutation_importance(_stump(spark, d), _stump_rows(features.holdout_set(_fact(spark, d))))
+    return pi.select("feature", (F.col("attribution") != 0).alias("matters"))
