@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ontime.llm import (chat, decontaminate, embeddings, extraction, hpylm, language, packing, ranking,
                         shingles, substrings, toxicity, urls, vectorcodes)
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _is(doc_id: str, n: int, fold: int) -> Column:
+    """Whether the id's remainder is ``fold``; a null id's is not."""
+    return F.coalesce(remainder(doc_id, n) == fold, F.lit(False))
+
+
 def word_bpe() -> str:
     import public_tokenizers
 
@@ -25,7 +30,7 @@ def word_bpe() -> str:
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     weights = toxicity.fit(docs, labels.where(remainder("doc_id", 5) != 0))
-    return toxicity.score(docs, weights).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+    return toxicity.score(docs, weights).select("doc_id", _is("doc_id", 5, 0).alias("held_out"), "score",
                                                 "predicted")
 
 
@@ -35,7 +40,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_hpylm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.coalesce(remainder("doc_id", 7) == 2, F.lit(False))
+    held_out = _is("doc_id", 7, 2)
     scored = hpylm.score(docs, hpylm.fit(docs.where(~held_out)))
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -63,7 +68,7 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(remainder("doc_id", 3) != 1))
-    return language.predict(docs, model).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"),
+    return language.predict(docs, model).select("doc_id", _is("doc_id", 3, 1).alias("held_out"),
                                                 "lang_pred", "score")
 
 
