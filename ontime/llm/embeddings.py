@@ -13,9 +13,13 @@ Links are counted and joined in the task that finds them: it gives each vector's
 and the least vector it is connected with, never the pairs.  A cell with many vectors is cut into
 chunks, and a task compares two chunks, so that a hot cell is many bounded tasks.
 
-Defined results: vectors that are null, zero, of another length than the most, or hold null or
-non-finite components link with nothing and are their own component; rows that repeat a ``vec_id``
-are one vector (the least); a null ``vec_id`` is an id; an empty table gives no rows.
+Vectors of each length are joined by themselves; none of two lengths link.  Inside, every row has a
+number of its own, so that null and repeated ids are compared like any other.
+
+Defined results: vectors that are null, zero, or hold null or non-finite components link with nothing
+and are their own component; rows equal in id and vector are one vector, rows of one ``vec_id`` and
+different vectors are a vector and a result row each; a null ``vec_id`` is compared too, its component is
+the least id reached, or null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -246,31 +250,41 @@ def _compared(dealt: DataFrame, grid: Grid) -> DataFrame:
             .mapInArrow(task, "id long, links long, root long"))
 
 
+def _links(good: DataFrame, size: int, n: int, cosine: float, blocks: int, chunk: int | None) -> DataFrame:
+    """id, links, root of the vectors of one length (``_compared``), written."""
+    grid = Grid(rotation(good, size), cosine, blocks, 1 + sum(n >= least for least in MORE_AXES))
+    chunk = chunk or max(1, CHUNK_BYTES // (8 * size))
+    parts = {cell: math.ceil(k / chunk) for cell, k in _sizes(good, grid).items() if k > chunk}
+    folder = shared_dir(good.sparkSession, "vector-links")
+    found = _compared(_dealt(good, grid, parts), grid)
+    found.write.parquet(folder)
+    return good.sparkSession.read.schema(found.schema).parquet(folder)
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCKS, chunk: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept for each vector of ``vectors`` (vec_id, embedding).
     ``chunk``: vectors of a chunk, by default as many as ``CHUNK_BYTES`` hold."""
     spark = vectors.sparkSession
-    rows = (vectors.select(F.col("vec_id").cast("long").alias("id"), "embedding")
-            .groupBy("id").agg(F.min("embedding").alias("embedding")))
-    folder = shared_dir(spark, "vectors")
-    usable(rows).write.parquet(folder)
-    good = spark.read.parquet(folder)
+
+    def staged(frame: DataFrame, name: str) -> DataFrame:
+        folder = shared_dir(spark, name)
+        frame.write.parquet(folder)
+        return spark.read.schema(frame.schema).parquet(folder)
+
+    rows = staged(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").distinct()
+                  .withColumn("id", F.monotonically_increasing_id()), "vector-rows")
+    good = staged(usable(rows.select("id", "embedding")), "vectors")
     sizes = {r["size"]: r["n"] for r in good.groupBy("size").agg(F.count("*").alias("n")).collect()}
-    ids = rows.select("id")
-    if not sizes:
-        return ids.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
-                          F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    size = max(sizes, key=lambda s: (sizes[s], s))
-    good = good.where(F.col("size") == size).where(F.col("id").isNotNull())
-    grid = Grid(rotation(good, size), cosine, blocks, 1 + sum(sizes[size] >= n for n in MORE_AXES))
-    chunk = chunk or max(1, CHUNK_BYTES // (8 * size))
-    parts = {cell: math.ceil(n / chunk) for cell, n in _sizes(good, grid).items() if n > chunk}
-    found_at = shared_dir(spark, "vector-links")
-    _compared(_dealt(good, grid, parts), grid).write.parquet(found_at)
-    found = spark.read.parquet(found_at)
+    ids = rows.select("id", "vec_id")
+    found = spark.createDataFrame([], "id long, links long, root long")
+    for size, n in sorted(sizes.items()):
+        if n > 1:
+            found = found.unionByName(_links(good.where(F.col("size") == size), size, n, cosine, blocks, chunk))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    connected = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    out = ids.join(links, "id", "left").join(connected, "id", "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias("vec_id"), F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
-                      component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
+    connected = staged(components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).join(ids, "id"), "vector-components")
+    least = staged(connected.groupBy("component").agg(F.min("vec_id").alias("component_id")), "vector-least")
+    named = connected.join(least, "component").select("id", "component_id", F.lit(True).alias("linked"))
+    out = ids.join(links, "id", "left").join(named, "id", "left")
+    component = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("vec_id"))
+    return out.select("vec_id", F.coalesce("links", F.lit(0).cast("long")).alias("n_links"),
+                      component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))

@@ -105,6 +105,52 @@ def test_embeddings_equal_brute_force_also_in_chunks(spark):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+def _embedding_links(vectors):
+    """(pairs of positions with cosine >= 0.9, usable or not told by their absence)."""
+    good = [i for i, v in enumerate(vectors) if v and None not in v and np.isfinite(v).all() and np.any(v)]
+    out = []
+    for size in {len(vectors[i]) for i in good}:
+        own = [i for i in good if len(vectors[i]) == size]
+        y = np.array([vectors[i] for i in own], np.float64)
+        norm = np.linalg.norm(y, axis=1)
+        i, j = np.nonzero(np.tril(y @ y.T / np.outer(norm, norm) >= 0.9, -1))
+        out += [(own[a], own[b]) for a, b in zip(i, j)]
+    return out
+
+
+def _expected_vectors(ids, vectors):
+    pairs = _embedding_links(vectors)
+    label = _components(len(ids), pairs)
+    least = {}
+    for i, k in enumerate(label):
+        if ids[i] is not None:
+            least[k] = min(least.get(k, ids[i]), ids[i])
+    count = [0] * len(ids)
+    for pair in pairs:
+        for i in pair:
+            count[i] += 1
+    return sorted([(ids[i], count[i], least.get(label[i]), ids[i] == least.get(label[i])) for i in range(len(ids))], key=str)
+
+
+def test_embeddings_of_two_lengths_with_null_and_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    wide, short = rng.normal(size=(30, 8)).round(2), rng.normal(size=(12, 3)).round(2)
+    table = [(i, v) for i, v in enumerate(wide.tolist())] + [(100 + i, (2 * v).tolist()) for i, v in enumerate(wide[:10])]
+    table += [(200 + i, v) for i, v in enumerate(short.tolist())] + [(300 + i, v) for i, v in enumerate((short[:5] * 3).tolist())]
+    table += [(5, (wide[1] * 1.01).tolist()), (None, wide[1].tolist()), (None, wide[29].tolist()), (None, [9.0, 9.0, -40.0]),
+              (400, [1.0] * 5), (401, None), (None, None), (402, [])]
+    ids, vectors = [i for i, _ in table], [v for _, v in table]
+    frame = spark.createDataFrame(table + table[:3], "vec_id long, embedding array<double>").withColumn("size", F.lit("clash"))
+    got = rows(embeddings.near_duplicates(frame), "vec_id", "n_links", "component_id", "kept")
+    assert sorted(got, key=str) == _expected_vectors(ids, vectors)
+
+
+def test_embeddings_of_the_given_table_equal_brute_force(spark):
+    table = queries.table(spark, "/root/testdata/sf0.01", "embeddings").select("vec_id", "embedding").collect()
+    got = rows(queries.op7_embedding_dedup(spark, "/root/testdata/sf0.01"), "vec_id", "n_links", "component_id", "kept")
+    assert sorted(got, key=str) == _expected_vectors([r.vec_id for r in table], [r.embedding for r in table])
+
+
 def _without_repeats(texts, n=35):
     seen, words = {}, [(t or "").encode().split() for t in texts]
     for w in words:
