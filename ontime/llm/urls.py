@@ -23,33 +23,38 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: The hosts and paths of the small labelled URL table.
-GOOD_HOSTS = (
-    "www.city-library.example.org", "news.example.com", "blog.river.example.net", "m.journal.example.com",
-    "university.example.org", "www.weather.example.net", "docs.project.example.com", "museum.example.org",
-    "blog.garden.example.net", "www.recipes.example.com", "m.stories.example.net", "health.example.org",
-    "www.thinking.example.com", "another.example.net", "the-other-site.example.com", "station.example.net",
-    "blog.nation.example.org", "www.tradition.example.net", "farm-shop.example.com", "trackandfield.example.net",
-    "www.essex.example.org", "adultlearning.example.com", "windows-help.example.net", "m.thesis.example.com",
-)
-BAD_HOSTS = (
-    "win-casino.example.com", "www.casino-bonus.example.net", "blog.online-casino.example.com", "casino-win.example.org",
-    "cheap-pills.example.net", "www.buy-pills.example.com", "m.pills-online.example.org", "cheap-meds.example.net",
-    "free-bets.example.com", "best-bets.example.net", "www.sports-bets.example.org", "spam-farm.example.com",
-    "www.link-spam.example.net", "link-farm.example.com", "ads-track.example.org", "m.ads-server.example.net",
-    "blog.track-ads.example.com", "adult-x.example.net", "www.x-adult.example.com", "xxx-videos.example.org",
-    "free-porn.example.net", "payday-loans.example.com",
-)
-PAGES = ("/en/1", "/de/1.html", "/fr/1/", "/es/1", "/")
+# The names that the small labelled URL table is made of, from general knowledge of the web.
+GOOD_NAMES = """library museum university weather recipes gardening history physics hospital school council parliament
+railway bakery chess astronomy football hiking photography kernel manual wiki encyclopedia journal newspaper theatre
+orchestra cathedral mountain kitchen bicycle carpentry dictionary climate ocean geology algebra poetry novels birds
+airport timetable bookshop archive gallery observatory chemistry biology medicine nursing charity village station
+travel hotels maps software hardware compiler database research thesis lectures courses science culture heritage
+economy finance bank insurance energy forest rivers tides sailing harbour fishing essex wessex middlesex
+documentation tutorial reference standards community volunteers children family education learning""".split()
+BAD_NAMES = """poker roulette jackpot slots blackjack bingo lottery gambling betting sportsbook wagers bookies
+viagra cialis tramadol pharmacy steroids weightloss slimming miracle painkillers
+porn xxx sexcams escorts nudes hookups milf fetish livesex webcamgirls
+adserver adclick popunder banners clickbait tracker trackers tracking pixel affiliate doubleclick adnetwork advertiser
+spammer spammers spamming linkbuilder backlinks seoboost bulkmail massmailer autosurf
+payday loans quickcash bitcoindoubler getrich replica rolex knockoff warez keygen cracked torrents phishing
+malware ransomware giveaway prizes winner freebies freeiphone cheapest discounts clearance dealz""".split()
 GOOD_PATHS = ("/books/history", "/courses/physics", "/guide/install", "/recipes/soup", "/results/2020", "/about")
-BAD_PATHS = ("/casino/bonus", "/buy-pills/now", "/free-bets", "/adult/xxx", "/click/ads", "/payday-loans/apply")
+BAD_PATHS = ("/poker/jackpot", "/viagra/order", "/betting/odds", "/xxx/livesex", "/adclick/banner", "/payday-loans/apply")
+# End of the fixed values.
+#: Both classes have the same shapes, on domains reserved for examples, so that only the names tell them apart.
+SHAPES = ("https://{0}.example.com/", "http://www.{0}-{1}.example.net/en/1?a=b", "https://{0}{1}.example.org/fr/1.html",
+          "https://blog.{1}-{0}.example.com/es/1/", "http://m.{0}.example.net/de/1")
 
 
 def labelled_urls() -> list[tuple[str, float]]:
-    """The small labelled table (1: block): each host with the same pages, then paths on the same hosts."""
-    rows = [(f"https://{h}{p}", y) for y, hosts in ((0.0, GOOD_HOSTS), (1.0, BAD_HOSTS)) for h in hosts for p in PAGES]
-    return rows + [(f"https://{h}{p}", y) for y, paths in ((0.0, GOOD_PATHS), (1.0, BAD_PATHS))
-                   for h in GOOD_HOSTS[:4] for p in paths]
+    """The small labelled table (1: block): each name alone and beside another of its kind, in a few shapes;
+    then paths on good hosts."""
+    rows = []
+    for y, names in ((0.0, GOOD_NAMES), (1.0, BAD_NAMES)):
+        for i, name in enumerate(names):
+            rows += [(shape.format(name, names[(7 * i + 3 * k + 1) % len(names)]), y) for k, shape in enumerate(SHAPES)]
+    return rows + [(f"https://www.{name}.org{p}", y) for y, paths in ((0.0, GOOD_PATHS), (1.0, BAD_PATHS))
+                   for name in GOOD_NAMES[:6] for p in paths]
 
 
 SIZES = (3, 4, 5)
@@ -66,12 +71,12 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def grams(text: Column, name: str) -> Column:
-    """All character n-grams of ``text`` in the given sizes, marked with ``name``."""
+def grams(chars: str, name: str) -> Column:
+    """All character n-grams, in the given sizes, of the column ``chars`` of characters, marked with ``name``."""
     def of(n: int) -> Column:
-        last = F.length(text) - (n - 1)
-        starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.concat(F.lit(f"{name}{n}:"), F.substring(text, i, F.lit(n))))
+        last = F.size(chars) - n
+        starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.concat(F.lit(f"{name}{n}:"), *(F.get(F.col(chars), i + k) for k in range(n))))
 
     return F.concat(*(of(n) for n in SIZES))
 
@@ -80,10 +85,11 @@ def featurize(pages: DataFrame) -> DataFrame:
     """``pages`` (url, ...) with host, path and the hashed n-gram counts."""
     host, path = host_and_path(F.col("url"))
     rows = pages.withColumn("host", host).withColumn("path", path)
-    # "." and "/" mark where host labels and path segments begin and end; all digits count as the same
-    rows = rows.withColumn("grams", F.concat(
-        grams(F.translate(F.concat(F.lit("."), "host", F.lit(".")), "123456789", "000000000"), "h"),
-        grams(F.translate(F.concat("path", F.lit("/")), "123456789", "000000000"), "p")))
+    # "." and "/" mark where host labels and path segments begin and end; all digits count as the same.
+    # The characters are columns, cut once: a substring would be searched from the text's start each time.
+    for name, text in (("_host", F.concat(F.lit("."), "host", F.lit("."))), ("_path", F.concat("path", F.lit("/")))):
+        rows = rows.withColumn(name, F.regexp_extract_all(F.translate(text, "123456789", "000000000"), F.lit("(?s)."), 0))
+    rows = rows.withColumn("grams", F.concat(grams("_host", "h"), grams("_path", "p"))).drop("_host", "_path")
     return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features").transform(rows).drop("grams")
 
 
