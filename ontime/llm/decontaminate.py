@@ -9,11 +9,13 @@ tokens are compared.  A document overlaps an item when some ``WINDOW`` consecuti
 places of a shorter item) hold at least ``AGREE`` of equal tokens.
 
 The test items are dealt to shards of about ``SHARD`` tokens, of which each is broadcast in turn; the
-documents are one pass a shard, without a shuffle, so no group can be hot.
+documents are one pass a shard, without a shuffle, so no group can be hot.  What a shard finds is
+written before the next one is collected, so the driver holds one at a time.
 
-Defined results: items of fewer than ``LEAST`` tokens are not looked for; null or empty texts overlap nothing; a document that
-overlaps several items gives a row for each, at its best place; repeated rows give repeated rows; with
-an empty benchmark nothing overlaps.
+Defined results: an item of fewer than ``LEAST`` tokens overlaps the documents whose tokens are the same and
+no more (inside longer texts so few words prove nothing), items without a token none; null or empty texts overlap nothing; a document that
+overlaps several items gives a row for each, at its best place; repeated documents give repeated rows, repeated
+items one; with an empty benchmark nothing overlaps.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ontime.llm import text as tx
+from ontime.session import shared_dir
 
 #: 1 marks the places of a seed that count.
 MASKS = ("1111", "10111", "11011", "11101", "110101", "110011")
@@ -67,6 +70,7 @@ class Items:
         self.hashes, self.of = tokens(pa.array(texts, pa.string()))
         size = np.diff(self.of)
         self.masks = {m: size >= max(LEAST, len(m)) for m in MASKS}
+        self.short = {tuple(self.hashes[self.of[i]:self.of[i + 1]].tolist()): i for i in np.flatnonzero((size > 0) & (size < LEAST)).tolist()[::-1]}
         self.seeds = {}
         for mask, fits in self.masks.items():
             found, item, place = [], [], []
@@ -103,11 +107,21 @@ class Items:
     def overlaps(self, hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
         """Verified (document, item, first aligned position in the document, aligned places, equal
         tokens), the best of each document and item."""
-        rows = np.zeros((0, 5), np.int64)
+        rows = self.whole(hashes, of)
         for hit in self.hits(hashes, of):
             rows = self.best(np.concatenate([rows, self.verified(hashes, of, hit)]))
         return rows
 
+    def whole(self, hashes: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The rows of ``overlaps`` of documents that are a short item."""
+        size = np.diff(of)
+        out = []
+        for d in np.flatnonzero((size > 0) & (size < LEAST)).tolist() if self.short else []:
+            i = self.short.get(tuple(hashes[of[d]:of[d + 1]].tolist()))
+            if i is not None:
+                out.append((d, i, 0, int(size[d]), int(size[d])))
+        return np.array(out, np.int64).reshape(-1, 5)
+
     def verified(self, hashes: np.ndarray, of: np.ndarray, hit: np.ndarray) -> np.ndarray:
         """The rows of ``overlaps`` of all diagonals of ``hit`` that overlap."""
         doc, item, diagonal = hit.T
@@ -137,14 +151,24 @@ class Items:
         return rows[new]
 
 
-def _shards(benchmark: DataFrame, shard: int) -> Iterator[Items]:
-    """Each in turn is collected; a shard has about ``shard`` tokens however large the benchmark is."""
-    rows = benchmark.where(F.col("text").isNotNull()).select("item_id", "text")
+def _shards(benchmark: DataFrame, shard: int) -> tuple[int, DataFrame]:
+    """(number of shards, the distinct items with their shard): about ``shard`` tokens each, however large the
+    benchmark is."""
+    rows = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
     total = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    shards = max(1, math.ceil(total / shard))
-    for k in range(shards):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").collect()
-        yield Items([r.item_id for r in own], [r.text for r in own])
+    n = max(1, math.ceil(total / shard))
+    return n, rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+
+
+def _items(rows: DataFrame, k: int) -> Items:
+    own = rows.where(F.col("shard") == k).orderBy("item_id", "text").collect()
+    return Items([r.item_id for r in own], [r.text for r in own])
+
+
+def _staged(frame: DataFrame) -> DataFrame:
+    folder = shared_dir(frame.sparkSession, "decontaminate")
+    frame.write.parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -153,9 +177,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataF
     schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("places", pa.int64()),
                         ("equal", pa.int64())])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for items in _shards(benchmark, shard):
-        def task(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+
+    def against(items: Items) -> DataFrame:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = np.array(items.ids, object)
             for part in tx.slices(batches, "text"):
                 found = items.overlaps(*tokens(part.column("text")))
@@ -164,23 +188,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataF
                         [part.column("doc_id").take(pa.array(found[:, 0])), pa.array(ids[found[:, 1]].tolist(), pa.int64()),
                          *(pa.array(found[:, k]) for k in (2, 3, 4))], schema=schema)
 
-        part = rows.mapInArrow(task, "doc_id long, item_id long, start long, places long, equal long")
+        return rows.mapInArrow(task, "doc_id long, item_id long, start long, places long, equal long")
+
+    n, items = _shards(benchmark, shard)
+    out = None
+    for k in range(n):
+        part = against(_items(items, k))
+        part = part if n == 1 else _staged(part)
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, start long, places long, equal long")
     return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shard: int = SHARD) -> DataFrame:
     """The rows of ``docs``, all columns, that overlap no item."""
-    out = docs
-    for items in _shards(benchmark, shard):
-        def task(batches: Iterator[pa.RecordBatch], items: Items = items) -> Iterator[pa.RecordBatch]:
+    def without(rows: DataFrame, items: Items) -> DataFrame:
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part in tx.slices(batches, "text"):
                 found = items.overlaps(*tokens(part.column("text")))
                 keep = np.ones(part.num_rows, bool)
                 keep[found[:, 0]] = False
                 yield part.filter(pa.array(keep))
 
-        out = out.mapInArrow(task, out.schema)
-    return out
+        return rows.mapInArrow(task, rows.schema)
+
+    n, items = _shards(benchmark, shard)
+    for k in range(n):
+        docs = without(docs, _items(items, k))
+        docs = docs if n == 1 else _staged(docs)
+    return docs

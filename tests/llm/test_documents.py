@@ -112,7 +112,7 @@ def test_url_filter_on_names_held_out_of_the_table(spark):
     held = rows_of(False).withColumn("page_id", F.monotonically_increasing_id())
     found = urls.judge(held, model).join(held.withColumn("page_id", F.col("page_id").cast("long")), "page_id")
     r = {x.label: x.m for x in found.groupBy("label").agg(F.avg((F.col("score") >= 0.5).cast("int")).alias("m")).collect()}
-    assert r[1.0] > 0.4 and r[0.0] < 0.3
+    assert r[1.0] > 0.3 and r[0.0] < 0.25
 
 
 def test_url_odd_rows(spark):
@@ -178,6 +178,40 @@ def test_overlaps_are_found_under_substitutions(spark):
     assert decontaminate.drop_contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_of_short_items_and_repeated_rows(spark):
+    long = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
+    docs = [(None, f"x {long} y"), (None, f"x {long} y"), (1, "Yes."), (2, "yes no"), (3, "a B, c"), (4, ""), (5, None), (6, "yes"), (6, "yes"), (7, "a b c d")]
+    bench = [(10, long), (10, long), (11, "yes"), (None, "A b c!"), (12, ""), (13, None), (14, "...")]
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, item_id string, places int")
+    items = spark.createDataFrame([(i, t, 1) for i, t in bench], "item_id long, text string, doc_id int")
+    expected = [(None, 10), (None, 10), (1, 11), (3, None), (6, 11), (6, 11)]
+    for shard in (decontaminate.SHARD, 3):
+        found = rows(decontaminate.overlaps(frame, items, shard), "doc_id", "item_id")
+        assert sorted(found, key=str) == sorted(expected, key=str)
+        kept = decontaminate.drop_contaminated(frame, items, shard)
+        assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 7]
+
+
+def test_shards_leave_the_driver(spark, monkeypatch):
+    """Of many shards at most two are held at once."""
+    import gc
+    import weakref
+
+    alive, most = weakref.WeakSet(), []
+    init = decontaminate.Items.__init__
+
+    def counted(self, *args):
+        gc.collect()
+        alive.add(self)
+        most.append(len(alive))
+        init(self, *args)
+
+    monkeypatch.setattr(decontaminate.Items, "__init__", counted)
+    docs = queries.table(spark, SF, "documents").limit(20)
+    out = decontaminate.drop_contaminated(docs, queries.table(spark, SF, "benchmark"), shard=250)
+    assert len(most) > 3 and max(most) <= 2 and out.count() <= 20
+
+
 def test_overlaps_equal_brute_force_on_the_given_tables(spark):
     def norm(text):
         return [w[:-1] if len(w) > 1 and w[-1] in ".,!?;:" else w for w in (text or "").lower().split()]
