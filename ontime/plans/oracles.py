@@ -9,7 +9,8 @@ shortest decimal (so round through DECIMAL), NULLs sort last.
 
 from __future__ import annotations
 
-from ontime.schema import ENRICH_WEATHER, INT_COLUMNS, RAW_TO_CLEAN
+from ontime.operators.weather import DEDUPE_ORDER
+from ontime.schema import ENRICH_WEATHER, INT_COLUMNS, RAW_TO_CLEAN, WEATHER_FLAGS, WEATHER_READINGS
 from ontime.sources.testbed import cte_sql, register_cte
 
 
@@ -96,27 +97,20 @@ for _name, _src in (("tb_map", "tb_cands"), ("tb_map_exact", "tb_cands_exact")):
 # ---------------------------------------------------------------------------
 # weather
 # ---------------------------------------------------------------------------
-_WX_READ = [("temp", "temp"), ("dewp", "dewp"), ("slp", "slp"), ("visib", "visib"), ("wdsp", "wdsp"),
-            ("mxpsd", "mxpsd"), ("gust", "gust"), ("max", "temp_max"), ("min", "temp_min"),
-            ("prcp", "prcp"), ("sndp", "sndp")]
-_WX_FLAG = [("fog", "fog"), ("rain_drizzle", "rain"), ("snow_ice_pellets", "snow"), ("hail", "hail"),
-            ("thunder", "thunder"), ("tornado_funnel_cloud", "tornado")]
-WX_COLS = [d for _, d in _WX_READ] + [d for _, d in _WX_FLAG]
+WX_COLS = [name for _, name in WEATHER_READINGS + WEATHER_FLAGS]
 _DATE = "concat_ws('-', year, mo, da)"
 register_cte("tb_weather", (
     "SELECT wban AS station_id, "
     f"CASE WHEN regexp_full_match({_DATE}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN TRY_CAST({_DATE} AS DATE) END "
     "AS weather_date, "
-    + ", ".join(f"TRY_CAST({s} AS DOUBLE) AS {d}" for s, d in _WX_READ) + ", "
-    + ", ".join(f"{s} AS {d}" for s, d in _WX_FLAG)
+    + ", ".join(f"TRY_CAST({s} AS DOUBLE) AS {d}" for s, d in WEATHER_READINGS) + ", "
+    + ", ".join(f"{s} AS {d}" for s, d in WEATHER_FLAGS)
     + ", stn FROM tb_weather_raw WHERE wban <> '99999' AND TRY_CAST(year AS INTEGER) BETWEEN 2019 AND 2025"),
     ["tb_weather_raw"])
-_DEDUPE = ["temp", "dewp", "visib", "wdsp", "mxpsd", "gust", "prcp", "fog", "rain", "snow", "thunder",
-           "slp", "temp_max", "temp_min", "sndp", "hail", "tornado"]
 register_cte("tb_wx", (
     "SELECT station_id, weather_date, " + ", ".join(WX_COLS) + " FROM (SELECT *, row_number() OVER ("
     "PARTITION BY station_id, weather_date ORDER BY stn NULLS FIRST, "
-    + ", ".join(f"{c} NULLS FIRST" for c in _DEDUPE)
+    + ", ".join(f"{c} NULLS FIRST" for c in DEDUPE_ORDER)
     + ") AS rn FROM tb_weather WHERE weather_date IS NOT NULL) w WHERE rn = 1"), ["tb_weather"])
 
 # ---------------------------------------------------------------------------

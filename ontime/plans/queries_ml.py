@@ -220,6 +220,47 @@ def q_tree_paths(spark, d):
     return rows.agg(F.count(F.lit(1)).alias("flights"), F.count_if(agrees).alias("additive"))
 
 
+@register("unseen_features", cte_sql(
+    "SELECT model_type, CAST(count(*) AS BIGINT) AS flights, CAST(count(*) AS BIGINT) AS scored "
+    "FROM tb_holdout CROSS JOIN tb_models GROUP BY 1", "tb_holdout", "tb_models"), "ml")
+def q_unseen_features(spark, d):
+    """Airports never learned, missing ones and missing weather are scored, alike by both forms of the models."""
+    fact, _, ms = _models(spark, d)
+    month = F.col("month")
+    hold = (features.holdout_set(fact).withColumn("origin", F.when(month == 3, "NEW").otherwise(F.col("origin")))
+            .withColumn("dest", F.when(month != 4, F.col("dest"))).withColumn("wind_speed", F.when(month != 6, F.col("wind_speed"))))
+    out = None
+    for kind, m in ms.items():
+        both = models.score(m, compiled.score_compiled(m, hold, "q"), kind, keep=("q",))
+        out = both if out is None else out.unionByName(both)
+    return out.groupBy("model_type").agg(F.count(F.lit(1)).alias("flights"),
+                                         F.count_if(F.abs(F.col("p") - F.col("q")) <= 1e-9).alias("scored"))
+
+
+_SCORED_METRICS = (
+    f"{r2('CAST(tp AS DOUBLE) / NULLIF(tp + fp, 0)', 4)} AS precision, {r2('CAST(tp AS DOUBLE) / NULLIF(tp + fn, 0)', 4)} AS recall, "
+    f"{r2('CAST(tp + tn AS DOUBLE) / NULLIF(tp + fp + fn + tn, 0)', 4)} AS accuracy, "
+    f"{r2('CAST(2 * tp AS DOUBLE) / NULLIF(2 * tp + fp + fn, 0)', 4)} AS f1, {r2('log_loss', 4)} AS log_loss, {r2('roc_auc', 4)} AS roc_auc "
+    "FROM tb_eval_counts c JOIN tb_eval_auc a ON c.model_type = a.model_type")
+
+
+@register("comparison_scored", cte_sql(f"SELECT c.model_type, {_SCORED_METRICS}", "tb_eval_counts", "tb_eval_auc"), "ml")
+def q_comparison_scored(spark, d):
+    """M8 on the fixed scorers: rounded metrics against SQL."""
+    return ev.model_comparison(tb.scored(spark, d))
+
+
+@register("metrics_scored", cte_sql(
+    f"SELECT TRUE AS evaluated_now, '2025-01-01 .. 2025-12-31' AS holdout_window, c.model_type, {_SCORED_METRICS}",
+    "tb_eval_counts", "tb_eval_auc"), "ml")
+def q_metrics_scored(spark, d):
+    """The same, stamped with the time of the run."""
+    begun = dt.datetime.now(dt.timezone.utc)
+    m = ev.eval_metrics(ev.model_comparison(tb.scored(spark, d)), "2025-01-01 .. 2025-12-31")
+    late = F.unix_timestamp("evaluated_at") - F.lit(int(begun.timestamp()))
+    return m.withColumn("evaluated_now", late.between(0, 3600)).drop("evaluated_at")
+
+
 def _from_cells(scored):
     """Counts-based metrics of each model recomputed from its confusion cells (M6)."""
     w = ev.confusion_wide(scored, ["model_type"]).groupBy("model_type").agg(

@@ -145,3 +145,14 @@ def q_ledger_ingest(spark, d):
         sync_archives(spark, root, out, ledger)
     sync_archives(spark, root, out, ledger)
     return read_table(spark, out).select(*CLEAN_COLUMNS)
+
+
+# ---- §2.11: the jobs one after the other, from storage to storage -----------------------------------------
+@register("jobs_chain", REGISTRY["weather_correlation"].sql, "io")
+def q_jobs_chain(spark, d):
+    """Clean (over archives with faults), map, enrich and tables; the weather view's table is read back."""
+    out = _cleaned(spark, d)
+    jobs.map_job(spark, tb.airports_raw(spark, d), tb.stations_raw(spark, d), out)
+    jobs.enrich_job(spark, tb.weather_raw(spark, d), out, chain.START_YEAR, chain.END_YEAR)
+    jobs.tables_job(spark, out, tb.airports_raw(spark, d))
+    return spark.read.parquet(f"{out}/v_weather_correlation")

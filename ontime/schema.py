@@ -86,7 +86,7 @@ WEATHER_FLAGS = [
 WEATHER_COLUMNS = (["station_id", "weather_date"] + [n for _, n in WEATHER_READINGS]
                    + [n for _, n in WEATHER_FLAGS])
 
-# The per-side weather columns carried into the enriched table, in this order.
+# FIXED VALUES: the per-side weather columns carried into the enriched table, in this order.
 ENRICH_WEATHER = ["temp", "dewp", "visib", "wdsp", "mxpsd", "gust", "prcp",
                   "fog", "rain", "snow", "thunder"]
 
