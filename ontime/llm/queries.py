@@ -109,7 +109,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = substrings.remove_repeated(docs)
+    counts = ("n_words", "n_removed")     # columns of that name are the documents' own here
+    rows = docs.withColumnsRenamed({c: f"__llm_{c}" for c in counts if c in docs.columns})
+    kept = substrings.remove_repeated(rows).drop(*counts).withColumnsRenamed({f"__llm_{c}": c for c in counts})
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 

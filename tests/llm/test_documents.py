@@ -37,6 +37,32 @@ def test_swapped_identity_terms_hardly_move_a_score():
     assert abs(z[0] - z[1]) < 0.5 and z[2] > max(z[0], z[1]) and rng is not None
 
 
+def test_the_counterfactual_term_lowers_false_positives_on_neutral_mentions(monkeypatch):
+    """A group is named in most toxic sentences and their insults are rare words: without the term every neutral
+    mention of the group is held toxic, with it none, and toxic sentences are found as before."""
+    rng = np.random.default_rng(0)
+    lexicon = "day sea calm river town garden market road bread music school winter summer light house".split()
+    insults = [f"zq{i}x" for i in range(60)]
+
+    def plain(n):
+        return " ".join(rng.choice(lexicon, n))
+
+    texts, toxic = [f"the {plain(6)}." for _ in range(150)], [False] * 150
+    for i in range(80):
+        texts.append(f"the muslims {plain(3)} {rng.choice(insults)} {plain(2)}." if i % 4 else f"the {plain(3)} {rng.choice(insults)}.")
+    texts += [f"the {('christians', 'jews', 'hindus', 'buddhists')[i % 4]} {plain(5)}." for i in range(40)]
+    toxic += [True] * 80 + [False] * 40
+    neutral = pa.array([f"the muslims {plain(5)}." for _ in range(50)])
+    bad = pa.array([f"the {plain(3)} {rng.choice(insults)} {rng.choice(insults)}." for _ in range(50)])
+    rate = {}
+    for weight in (0.0, toxicity.COUNTERFACTUAL):
+        monkeypatch.setattr(toxicity, "COUNTERFACTUAL", weight)
+        w = toxicity.fit_weights(texts, np.array(toxic))
+        rate[weight] = (toxicity.logits(w, neutral) >= 0).mean(), (toxicity.logits(w, bad) >= 0).mean()
+    (false_before, found_before), (false_now, found_now) = rate.values()
+    assert false_before > 0.9 and false_now < 0.1 and found_now >= found_before - 0.05
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(0, 0), (5, 1), (1, None), (2, 7)], "doc_id long, toxic int")
     w = toxicity.fit(odd_docs, labels)

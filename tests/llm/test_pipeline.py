@@ -40,3 +40,16 @@ def test_language_stage_rejects_foreign_and_nonsense_texts_alone(spark):
 def test_run_on_the_whole_table(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert found.count() > 0 and "sequence_id" in found.columns
+
+
+def test_stages_on_odd_rows_and_an_empty_table(spark, odd_docs, no_docs):
+    """Nulls, empty and long texts, repeated rows, a null id, clashing columns."""
+    for docs in (odd_docs, no_docs):
+        now, size = docs, docs.count()
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, SF)
+            assert now.columns == docs.columns and [f.dataType for f in now.schema] == [f.dataType for f in docs.schema]
+            assert (left := now.count()) <= size
+            size = left
+        pieces = corpus_pipeline.STAGES[-1][1](spark, now, SF)
+        assert pieces.select("doc_id").distinct().count() <= max(size, 0) and (size > 0) == (pieces.count() > 0)
