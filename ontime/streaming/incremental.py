@@ -7,7 +7,8 @@ ingests exactly the archives that arrived since the last one and then stops -- t
 Parquet file sink commits each micro-batch atomically through its metadata log, so a
 failed or repeated run never duplicates rows (readers of the output use that log).
 
-Caveat of the file source: an archive *replaced* under the same name is not re-read.
+Limits of the file source: an archive *replaced* under the same name is not re-read, and one beyond
+2 GiB, which its binary column cannot hold, fails the run.  ``ledger.sync_archives`` has neither limit.
 """
 
 from __future__ import annotations
