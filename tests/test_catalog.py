@@ -84,3 +84,9 @@ def test_broadcast_is_bounded_by_bytes(spark):
     assert 10_000 < payload_bytes(wide) < 11_500 and payload_bytes(wide.limit(0)) == 0
     assert "ResolvedHint" in bounded_broadcast(wide, 20_000)._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" not in bounded_broadcast(wide, 5_000)._jdf.queryExecution().analyzed().toString()
+
+
+def test_the_clustered_join_broadcasts_neither_table(spark):
+    from ontime.plans import queries_tables
+    plan = queries_tables.q_clustered_join(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
