@@ -218,3 +218,28 @@ def test_an_archive_beyond_two_gib_is_read_in_bounded_memory(scratch):
         rows = [r for b in zipcsv._member_rows(f, infos[0], COLUMNS, found) for r in b.to_pylist()]
     assert n == 1 and infos[0].header_offset > 1 << 31
     assert rows == [{"A": "1", "B": "2", "C": "3"}] and found == {"rows": 1, "error": None}
+
+
+def test_the_writer_never_holds_a_directory(spark, scratch, monkeypatch):
+    """Each batch goes to its archive as it comes: one open writer, no batch kept."""
+    monkeypatch.setattr(zipcsv.TaskContext, "get", staticmethod(lambda: type("T", (), {
+        "attemptNumber": lambda self: 0, "partitionId": lambda self: 3})()))
+    schema = zipcsv.pa.schema([("a", zipcsv.pa.string())])
+    writer = zipcsv._ArchiveWriter(*zipcsv.filesystem(str(scratch)), ("2024", "1"), "00003", schema)
+    before = zipcsv.pa.total_allocated_bytes()
+    for i in range(50):
+        writer.add(zipcsv.pa.RecordBatch.from_pydict({"a": [f"{i}-{k}" for k in range(2000)]}))
+    assert zipcsv.pa.total_allocated_bytes() - before < 4 << 20
+    row = writer.close().to_pylist()[0]
+    assert row["rows"] == 100_000
+    assert zipcsv.archive_status_of(row["path"], open(row["path"], "rb").read())["rows"] == 100_000
+
+
+def test_an_archive_for_each_directory_and_task(spark, scratch):
+    """Rows of a directory lie apart in their partition, and still make one archive of it."""
+    raw = spark.createDataFrame([(f"2024-{1 + i % 3:02d}-05", str(i)) for i in range(300)], "FlightDate string, Origin string").coalesce(1)
+    root = f"{scratch}/apart"
+    written = zipcsv.write_zip_archives(raw, root, ["FlightDate", "Origin"]).collect()
+    assert sorted(r["rows"] for r in written) == [100, 100, 100]
+    back = zipcsv.read_zip_csv(spark, root, ["FlightDate", "Origin"])
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, raw.collect()))
