@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ontime.ml import evaluate as ev
@@ -180,13 +181,23 @@ def _stump(spark, d):
 
 
 @register("train_boosted", cte_sql(
-    "SELECT feature, CAST(small_side AS BIGINT) AS small_side, CAST(large_side AS BIGINT) AS large_side FROM tb_stump_best",
-    "tb_stump_best"), "ml")
+    "SELECT f.feature, TRUE AS within, CAST(1.0 AS DOUBLE) AS total, CAST(50 AS BIGINT) AS rounds, "
+    "CAST(b.small_side AS BIGINT) AS small_side, CAST(b.large_side AS BIGINT) AS large_side "
+    "FROM tb_features f LEFT JOIN tb_stump_best b ON f.feature = b.feature", "tb_features", "tb_stump_best"), "ml")
 def q_train_boosted(spark, d):
-    """M4: the first split of boosted trees, and the flights on either side, found by brute force too."""
+    """M4: the whole boosted model (every round, depth and feature): its rounds and the split-gain importance of
+    every feature, each a share of one; beside the feature of the first split of a one-split model, the flights
+    on either side, found by brute force too."""
+    _, _, ms = _models(spark, d, (models.BOOSTED,))
+    rounds = len(compiled.trees(spark, ms[models.BOOSTED]))
     root = compiled.trees(spark, _stump(spark, d))[0]
     sides = sorted((root.rows[root.left[0]], root.rows[root.right[0]]))
-    return spark.createDataFrame([(features.FEATURES[root.feature[0]], *sides)], "feature string, small_side long, large_side long")
+    split = spark.createDataFrame([(features.FEATURES[root.feature[0]], *sides)], "feature string, small_side long, large_side long")
+    imp = explain.tree_importance(spark, ms[models.BOOSTED])         # one row a feature
+    return imp.join(split, "feature", "left").select(
+        "feature", F.col("attribution").between(0.0, 1.0).alias("within"),
+        F.round(F.sum("attribution").over(Window.partitionBy()), _DIGITS).alias("total"),
+        F.lit(rounds).cast("long").alias("rounds"), "small_side", "large_side")
 
 
 @register("score_holdout", cte_sql(
