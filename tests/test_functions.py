@@ -49,3 +49,12 @@ def test_haversine_known_distance(spark):
     df = spark.createDataFrame([(10.0, 20.0, 11.0, 20.0)], "a double, b double, c double, d double")
     d = df.select(haversine_km("a", "b", "c", "d")).first()[0]
     assert abs(d - 6371.0 * 3.141592653589793 / 180) < 1e-9
+
+
+def test_plain_dates_parse_as_the_formatter_does(spark):
+    texts = ["2019-02-28", "2019-02-30", "2020-02-29", "1582-10-10", "1000-01-01", "0999-01-01", "0000-01-01", "9999-12-31", "2019-13-01",
+             "2019-1-1", "2019-01-01 ", " 2019-01-01", "2019-01-01T", "20190101", "12019-01-01", "+2019-01-01", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = [F.coalesce(d.cast("string"), F.lit("none")).alias(n) for n, d in (("a", parse_date("t")), ("b", F.try_to_date("t", "yyyy-MM-dd")))]
+    for r in rows.select("t", *both).collect():
+        assert r["a"] == r["b"], r
