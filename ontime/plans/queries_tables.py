@@ -69,8 +69,7 @@ def q_clustered_join(spark, d):
     keys = ["origin_station", "flight_date"]
     f = catalog.save_clustered(flights.select(*keys, "is_delayed_15"), f"flights_{tag}", f"{root}/flights", keys, BUCKETS)
     w = catalog.save_clustered(weather, f"weather_{tag}", f"{root}/weather", keys, BUCKETS)
-    # clustered files are small for their rows (runs of equal keys), so the planner would broadcast one side by its bytes
-    return f.hint("merge").join(w, keys).groupBy("origin_station").agg(
+    return catalog.join_clustered(f, w, keys).groupBy("origin_station").agg(
         F.count(F.lit(1)).alias("flights"), F.sum("is_delayed_15").alias("delayed"), F.count("temp").alias("with_temp"))
 
 

@@ -86,7 +86,15 @@ def test_broadcast_is_bounded_by_bytes(spark):
     assert "ResolvedHint" not in bounded_broadcast(wide, 5_000)._jdf.queryExecution().analyzed().toString()
 
 
-def test_the_clustered_join_broadcasts_neither_table(spark):
-    from ontime.plans import queries_tables
-    plan = queries_tables.q_clustered_join(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+def test_clustered_tables_are_not_broadcast(spark, scratch):
+    rows = spark.range(1000).selectExpr("id % 50 AS k", "id AS x")
+    a = catalog.save_clustered(rows, "clustered_c", f"{scratch}/c", ["k"], 4)
+    b = catalog.save_clustered(rows.withColumnRenamed("x", "y"), "clustered_d", f"{scratch}/d", ["k"], 4)
+    try:
+        assert "BroadcastHashJoin" in plan(a.join(b, ["k"]))       # by the size of their files
+        joined = catalog.join_clustered(a, b, ["k"])
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+        assert joined.count() == 50 * 20 * 20
+    finally:
+        spark.sql("DROP TABLE IF EXISTS clustered_c")
+        spark.sql("DROP TABLE IF EXISTS clustered_d")
