@@ -28,8 +28,8 @@ def _published(spark, d, view: str, build) -> str:
     """The name of a table that was made empty, replaced by the view's rows, and then met a write
     that breaks."""
     name, root = f"t_{view}", shared_dir(spark, "named")
-    catalog.replace_table(build(chain.fact_table(spark, d).limit(0)), name, root)
-    whole = build(chain.fact_table(spark, d))
+    catalog.replace_table(build(chain.facts(spark, d).limit(0)), name, root)
+    whole = chain.staged(spark, d, f"view-{view}", lambda: build(chain.facts(spark, d)))   # written twice
     catalog.replace_table(whole, name, root)
     try:
         catalog.replace_table(whole.withColumn("broken", F.raise_error(F.lit("broken"))), name, root)
