@@ -3,9 +3,10 @@
 A text's family is predicted first (one linear SVM per family against the others), then
 one-versus-one linear SVMs vote among the languages of that family.  Features are relative
 frequencies of hashed byte bigrams and trigrams of the lower-cased text, so a decision value is
-the mean weight over all positions of the whole text.  Each SVM is fitted in a task of its own
-from a sample of at most ``PER_LANGUAGE`` labelled texts for each language; only weights (a fixed
-number per classifier) come back.
+the mean weight over all positions of the whole text.  Every labelled text is learned from: a task
+goes through its rows in blocks, descends on each from where the last one ended, and a classifier is
+the mean over all blocks of all tasks, by their texts.  Only weights (a fixed number per classifier)
+come back.
 
 Defined results: null text and text without a letter are ``und`` with score 0; with no labelled
 row everything is ``und``; with one language each text with a letter gets it.  Repeated rows and
@@ -29,7 +30,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ontime.llm import sampling
 from ontime.llm import text as tx
 
 #: Families of language codes; any other code is a family of its own.
@@ -38,12 +38,13 @@ FAMILIES = {
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc"),
     "slavic": ("ru", "uk", "be", "bg", "pl", "cs", "sk", "sl", "hr", "sr", "mk"),
 }
-#: The most labelled texts of each language that are learned from.
-PER_LANGUAGE = 400
 BITS = (12, 13)  # hash bits of bigrams and trigrams
 SIZE = sum(1 << b for b in BITS)
-#: Of the SVM: weight of the squared norm, steps, and how sharply margins become probabilities.
-DECAY, STEPS, SHARPNESS = 1e-3, 150, 3.0
+#: Of the SVM: weight of the squared norm, and how sharply margins become probabilities.
+DECAY, SHARPNESS = 1e-3, 3.0
+#: Texts that are learned together, the frequencies that close a block before, steps on a task's first block (on the
+#: n-th an n-th part of them) and the fewest steps on a block.
+BLOCK, BLOCK_VALUES, STEPS, LATER = 1024, 1 << 21, 80, 12
 #: Of the rejection: characters of the spans that have a floor, and the fewest held-out spans that
 #: make one.  It lies halfway between the median scores of the spans and of their letters in random
 #: order, but no nearer to the former than ``REACH`` times its distance from their lowest tenth.
@@ -102,70 +103,132 @@ class Sparse:
         return np.bincount(self.feature, self.value * share[self.row], SIZE)
 
 
-def _sparse(texts: list[str]) -> Sparse:
+def _joined(parts: list[Sparse]) -> Sparse:
+    sizes = [np.zeros(1, np.int64), *(np.diff(p.off) for p in parts)]
+    return Sparse(np.cumsum(np.concatenate(sizes)), np.concatenate([p.feature for p in parts]), np.concatenate([p.value for p in parts]))
+
+
+def _sparse(column: pa.Array) -> Sparse:
     """A slice of the texts at a time, so that only frequencies are held of them all."""
-    sizes, features, values = [np.zeros(1, np.int64)], [], []
-    for part in tx.slices([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])], "text"):
+    out = []
+    for part in tx.slices([pa.RecordBatch.from_arrays([column], ["text"])], "text"):
         index, off = grams(part.column("text"))
         key, times = np.unique(tx.owner(np.diff(off)) * SIZE + index, return_counts=True)
         row = key // SIZE
-        sizes.append(np.bincount(row, minlength=part.num_rows))
-        features.append((key % SIZE).astype(np.int32))
-        values.append((times / np.diff(off)[row]).astype(np.float32))
-    return Sparse(np.cumsum(np.concatenate(sizes)), np.concatenate(features), np.concatenate(values))
-
-
-def fit_svm(texts: list[str], positive: np.ndarray) -> np.ndarray:
-    """Weights and bias of a linear SVM (squared hinge loss, both classes weighing the same) by
-    accelerated gradient descent.  A span of 40 characters of each text is learned too, so that
-    short texts are not strange to it."""
-    x = _sparse(texts + [t[len(t) // 2:][:40] for t in texts])
-    y = np.where(np.concatenate([positive, positive]), 1.0, -1.0)
+        out.append(Sparse(np.append(0, np.cumsum(np.bincount(row, minlength=part.num_rows))), (key % SIZE).astype(np.int32),
+                          (times / np.diff(off)[row]).astype(np.float32)))
+    return _joined(out)
+
+
+def fit_svm(x: Sparse, positive: np.ndarray, share: np.ndarray, start: np.ndarray, steps: int) -> np.ndarray:
+    """Weights and bias of a linear SVM (squared hinge loss, each text weighing its ``share``) after ``steps`` of
+    accelerated gradient descent from ``start``."""
+    y = np.where(positive, 1.0, -1.0)
     scale = 1 / np.sqrt(x.columns(np.ones(len(y))) / len(y) + 1e-5)
-    x.value *= scale[x.feature].astype(np.float32)
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    rate = 1 / (2 * float((x.value.astype(np.float64) ** 2 * share[x.row]).sum()) + 2 + DECAY)
-    w, b = np.zeros(SIZE), 0.0
+    x = Sparse(x.off, x.feature, x.value * scale[x.feature].astype(np.float32))
+    rate = 1 / (2 * float((x.value.astype(np.float64) ** 2 * share[x.row]).sum()) + 2 * share.sum() + DECAY)
+    w, b = start[:SIZE] / scale, float(start[SIZE])
     old_w, old_b = w, b
-    for step in range(STEPS):
+    for step in range(steps):
         k = step / (step + 3)
         at_w, at_b = w + k * (w - old_w), b + k * (b - old_b)
         slope = -2 * share * y * np.maximum(0, 1 - y * (x.times(at_w) + at_b))
         old_w, old_b = w, b
         w, b = at_w - 4 * rate * (x.columns(slope) + DECAY * at_w), at_b - 4 * rate * float(slope.sum())
-    return np.append(w * scale, b).astype(np.float32)
-
-
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from ``labelled`` (doc_id, text, lang); rows with a null lang or no letter are left out."""
-    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    langs = sorted(r[0] for r in rows.select("lang").distinct().collect())
-    model = Model()
+    return np.append(w * scale, b)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, list[str], Sparse]]:
+    """(held, languages, frequencies) of each block of at most ``BLOCK`` texts, held ones by themselves.  A span of
+    40 characters of each text is in it too, so that short texts are not strange to a model."""
+    waiting: dict[bool, tuple[list, list]] = {}
+
+    def close(held: bool) -> tuple[bool, list[str], Sparse]:
+        langs, parts = waiting.pop(held)
+        return held, langs, _joined(parts)
+
+    for part in tx.slices(batches, "text"):
+        flags = part.column("held").to_numpy(zero_copy_only=False)
+        for held in (False, True):
+            own = np.flatnonzero(flags == held)
+            for i in range(0, len(own), BLOCK // 4):
+                at = pa.array(own[i:i + BLOCK // 4])
+                texts, langs = part.column("text").take(at), part.column("lang").take(at).to_pylist()
+                short = pa.array([t[len(t) // 2:][:40] for t in texts.to_pylist()], pa.string())
+                have = waiting.setdefault(held, ([], []))
+                have[0].extend(langs + langs)
+                have[1].extend([_sparse(texts), _sparse(short)])
+                if len(have[0]) > 2 * BLOCK - BLOCK // 2 or sum(len(p.value) for p in have[1]) > BLOCK_VALUES:
+                    yield close(held)
+    for held in list(waiting):
+        yield close(held)
+
+
+def fit(labelled: DataFrame) -> Model:
+    """Learn from all of ``labelled`` (text, lang); rows with a null lang or no letter are left out."""
+    return _fitted(labelled.withColumn("held", F.lit(False)))[0]
+
+
+def _fitted(labelled: DataFrame) -> tuple[Model, Model]:
+    """(model of all rows, model of the rows that are not ``held``) of ``labelled`` (text, lang, held), in one pass."""
+    rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang", "held")
+    counts = {(r.lang, r.held): r.n for r in rows.groupBy("lang", "held").agg(F.count("*").alias("n")).collect()}
+    langs = sorted({lang for lang, _ in counts})
+    whole = Model()
     for lang in langs:
-        model.families.setdefault(family_of(lang), []).append(lang)
-    tasks = [(f, "") for f in model.families] if len(model.families) > 1 else []
-    tasks += [(a, b) for own in model.families.values() for i, a in enumerate(own) for b in own[i + 1:]]
+        whole.families.setdefault(family_of(lang), []).append(lang)
+    tasks = [(f, "") for f in whole.families] if len(whole.families) > 1 else []
+    tasks += [(a, b) for own in whole.families.values() for i, a in enumerate(own) for b in own[i + 1:]]
     if not tasks:
-        return model
-    families = {lang: f for f, own in model.families.items() for lang in own}
-    sides = []  # (task, language, side)
-    for k, (a, b) in enumerate(tasks):
-        for lang in langs:
-            if not b:
-                sides.append((k, lang, families[lang] == a))
-            elif lang in (a, b):
-                sides.append((k, lang, lang == a))
-    sides = labelled.sparkSession.createDataFrame(sides, "task int, lang string, side boolean")
-
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["lang", "text"])
-        w = fit_svm(group["text"].tolist(), group["side"].to_numpy())
-        return pd.DataFrame({"task": [group["task"].iloc[0]], "w": [w.tobytes()]})
-
-    texts = sampling.sample(rows, "lang", rows, per_language)
-    fitted = texts.join(F.broadcast(sides), "lang").groupBy("task").applyInPandas(one, "task int, w binary").collect()
-    model.weights = {tasks[r.task]: np.frombuffer(r.w, np.float32) for r in fitted}
-    return model
+        return whole, whole
+    sides = [({lang for lang in whole.families[a]}, set(langs) - set(whole.families[a])) if not b else ({a}, {b}) for a, b in tasks]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = {(k, held): np.zeros(SIZE + 1) for k in range(len(tasks)) for held in (False, True)}
+        total, texts, seen = {}, {}, {}
+        for held, own, x in _blocks(batches):
+            number = seen[held] = seen.get(held, 0) + 1
+            lang = np.array(own, object)
+            for k, (yes, no) in enumerate(sides):
+                rows_ = np.flatnonzero(np.isin(own, sorted(yes | no)))
+                if not len(rows_):
+                    continue
+                n = np.diff(x.off)[rows_]
+                at = tx.gather(x.off[rows_], n)
+                part = Sparse(np.append(0, np.cumsum(n)), x.feature[at], x.value[at])
+                positive = np.isin(lang[rows_].astype(str), sorted(yes))
+                # both sides weigh the same over the whole table, so a block's sides weigh what it has of them
+                of_side = [sum(counts.get((a, held), 0) for a in side) for side in (no, yes)]
+                weight = 0.5 * sum(of_side) / len(rows_) / np.maximum(1, of_side)
+                start = now[k, held]
+                now[k, held] = fit_svm(part, positive, weight[positive.astype(int)], start, max(LATER, STEPS // number))
+                total[k, held] = total.get((k, held), 0) + len(rows_) * now[k, held]
+                texts[k, held] = texts.get((k, held), 0) + len(rows_)
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in total], pa.int32()), pa.array([h for _, h in total]), pa.array(list(texts.values()), pa.int64()),
+                 pa.array([w.tobytes() for w in total.values()], pa.binary())], names=["task", "held", "n", "w"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        w = np.sum([np.frombuffer(x) for x in group["w"]], axis=0)
+        return pd.DataFrame({"task": group["task"].iloc[:1], "held": group["held"].iloc[:1], "part": [0], "n": [group["n"].sum()], "w": [w.tobytes()]})
+
+    # sums of weights: added in parts first, so that no task reads those of all partitions
+    schema = "task int, held boolean, part int, n long, w binary"
+    sums = rows.mapInArrow(task, "task int, held boolean, n long, w binary").withColumn("part", F.spark_partition_id() % 32)
+    found = sums.groupBy("task", "held", "part").applyInPandas(add, schema).groupBy("task", "held").applyInPandas(add, schema).collect()
+
+    def model(flags: tuple[bool, ...]) -> Model:
+        known = {lang for lang in langs if any(counts.get((lang, h)) for h in flags)}
+        out = Model({f: own for f, own in ((f, [x for x in own if x in known]) for f, own in whole.families.items()) if own})
+        for k, (a, b) in enumerate(tasks):
+            parts = [r for r in found if r.task == k and r.held in flags]
+            needed = (a in out.families and len(out.families) > 1) if not b else (a in known and b in known)
+            if parts and needed:
+                out.weights[a, b] = (sum(np.frombuffer(r.w) for r in parts) / sum(r.n for r in parts)).astype(np.float32)
+        return out
+
+    return model((False, True)), model((False,))
 
 
 def decide(model: Model, column: pa.Array) -> tuple[list[str], np.ndarray]:
@@ -239,28 +302,28 @@ def spans(text: str) -> list[str]:
     return [joined[i:j] for i, j in zip(cut, cut[1:])]
 
 
-def calibrated(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """A model of ``labelled`` with floors: a model of four fifths of the rows scores spans of the other
-    fifth (at most ``per_language`` texts a language, cut to each length of ``SPANS``)."""
+def calibrated(labelled: DataFrame) -> Model:
+    """A model of ``labelled`` with floors: a model of four fifths of the rows scores spans of all rows of the
+    other fifth, cut to each length of ``SPANS``."""
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     held = F.pmod(F.xxhash64("text"), F.lit(5)) == 0
-    learned = fit(rows.where(~held), per_language)
-    whole = fit(rows, per_language)
+    whole, learned = _fitted(rows.withColumn("held", held))
     if not learned.weights:
         return whole
     known = [lang for own in learned.families.values() for lang in own]
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
-            own = [s for text in part["text"] for s in spans(text)]
-            for k, n in enumerate(SPANS):
-                cut = [s[:n] for s in own if len(s) >= n]
-                if cut:
-                    mixed = ["".join(random.Random(s).sample(s, len(s))) for s in cut]
-                    score, other = (decide(learned, pa.array(x, pa.string()))[1] for x in (cut, mixed))
-                    yield pd.DataFrame({"length": k, "score": score, "other": other})
-
-    texts = sampling.sample(rows, "lang", rows.where(held & F.col("lang").isin(known)), per_language)
+            for i in range(0, len(part), 256):          # so that the spans of few texts are held
+                own = [s for text in part["text"].iloc[i:i + 256] for s in spans(text)]
+                for k, n in enumerate(SPANS):
+                    cut = [s[:n] for s in own if len(s) >= n]
+                    if cut:
+                        mixed = ["".join(random.Random(s).sample(s, len(s))) for s in cut]
+                        score, other = (decide(learned, pa.array(x, pa.string()))[1] for x in (cut, mixed))
+                        yield pd.DataFrame({"length": k, "score": score, "other": other})
+
+    texts = rows.where(held & F.col("lang").isin(known)).select("text")
     found = (texts.mapInPandas(one, "length int, score double, other double").groupBy("length")
              .agg(F.count("*").alias("n"), F.percentile_approx("score", [0.1, 0.5], 10000).alias("q"),
                   F.percentile_approx("other", 0.5, 10000).alias("other")).collect())

@@ -327,6 +327,26 @@ def test_language_odd_rows(spark, odd_docs, no_docs):
     assert rows(language.predict(odd_docs.where("doc_id = 6"), one), "lang_pred", "score") == [("en", 1.0)]
 
 
+def test_language_learns_from_every_row(spark):
+    texts = [(i, f"wort{i} und noch eins" if i % 2 else f"word{i} and one more", "de" if i % 2 else "en") for i in range(1000)]
+
+    def weights(changed):
+        own = [(i, "zzyx qqvj xxkw" if i == changed else text, lang) for i, text, lang in texts]
+        return language.fit(spark.createDataFrame(own, "doc_id long, text string, lang string").coalesce(1)).weights["de", "en"]
+
+    whole = weights(None)
+    assert not any(np.array_equal(whole, weights(i)) for i in (3, 250, 501, 760, 999))
+
+
+def test_language_blocks_hold_every_text_once():
+    texts = [f"word{i} " * (i % 7 + 1) for i in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([str(i) for i in range(3000)]), pa.array([i % 5 == 0 for i in range(3000)])],
+                                       names=["text", "lang", "held"])
+    found = list(language._blocks(iter([batch, batch.slice(0, 0)])))
+    assert sorted((held, lang) for held, langs, _ in found for lang in langs) == sorted((i % 5 == 0, str(i)) for i in range(3000) for _ in range(2))
+    assert all(len(x.off) == len(langs) + 1 and len(langs) <= 2 * language.BLOCK for _, langs, x in found)
+
+
 # ---- 9: packing
 def _check_pieces(found, expected):
     """expected: doc_id -> list of its ids (several documents of one id: one after the other is not checked)."""
