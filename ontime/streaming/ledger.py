@@ -84,7 +84,8 @@ def sync_archives(spark: SparkSession, raw_root: str, out: str, ledger: str, glo
     # the rows and the status of the new versions, in one read
     fresh_at, status_at = shared_dir(spark, "ledger-rows"), shared_dir(spark, "ledger-status")
     raw = zipcsv.scan_archives(news, status_to=status_at, path_as=ARCHIVE)
-    clean_flights(raw, carry=[ARCHIVE]).write.partitionBy("year", "month").parquet(fresh_at)
+    # staged as it comes: only the table is sorted into directories, so a task leaves one file here, not one a month
+    clean_flights(raw, carry=[ARCHIVE]).write.parquet(fresh_at)
     fresh = spark.read.schema(_table_schema()).parquet(fresh_at).select(*CLEAN_COLUMNS, ARCHIVE)
     replaced = held.join(news.select("path"), "path", "left_semi")
     before = _months(replaced.select(F.explode("months").alias("m")).select("m.*"))

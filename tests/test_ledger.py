@@ -85,6 +85,17 @@ def test_faulty_and_vanished_archives(spark, scratch):
     assert state(spark, out) == [("2019-01-01", "a.zip", 1), ("2019-01-07", "bad.zip", 1)]
 
 
+def test_fresh_rows_are_staged_without_month_directories(spark, scratch, monkeypatch):
+    raw, out, ledger = f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ledger"
+    put(f"{raw}/a.zip", [f"2019-{m:02d}-01" for m in range(1, 13)])
+    left = []
+    monkeypatch.setattr(lg, "remove", lambda spark, path: left.append(path.removeprefix("file:")))
+    assert lg.sync_archives(spark, raw, out, ledger)["months"] == 12
+    staged = next(path for path in left if "ledger-rows" in path)
+    assert any(f.endswith(".parquet") for f in os.listdir(staged)) and not any("=" in f for f in os.listdir(staged))
+    assert len(state(spark, out)) == 12
+
+
 def test_empty_folder(spark, scratch):
     os.makedirs(f"{scratch}/raw")
     assert lg.sync_archives(spark, f"{scratch}/raw", f"{scratch}/out", f"{scratch}/ledger")["archives"] == 0
