@@ -176,6 +176,57 @@ def test_predictive_probabilities_sum_to_one():
     assert few.min() >= 1 and few.max() <= 40 and 1.5 < few.mean() < 5
 
 
+def _bigram_docs(spark):
+    """60 common words, and 30 rare pairs 'x<i> y<i>' that come three times each, always together."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"c{k}" for k in rng.zipf(1.5, 40) % 60) for _ in range(80)]
+    texts = [t if i >= 90 else f"{t} x{i % 30} y{i % 30}" for i, t in enumerate(texts * 2)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def _scores(spark, model, texts):
+    found = hpylm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    return [r.score for r in sorted(found, key=lambda r: r.doc_id)]
+
+
+def test_rare_words_are_contexts_and_are_learned_in_context(spark):
+    docs = _bigram_docs(spark)
+    for frequent in (5, hpylm.FREQUENT):     # all rare words beyond the frequent ones, and among them
+        together, swapped = _scores(spark, hpylm.fit(docs, frequent, 500), ["c1 x4 y4", "c1 y4 x4"])
+        assert together > swapped + 1, frequent
+
+
+def test_distributed_seating_agrees_with_one_small_table(spark):
+    docs = _bigram_docs(spark)
+    one, dealt = hpylm.fit(docs), hpylm.fit(docs, 20, 300)
+    assert one.parts == 1 and dealt.parts > 10 and len(dealt.frequent) <= 20
+    texts = [r.text for r in docs.limit(40).collect()] + ["", "y3 unheard c1", None]
+    assert np.allclose(_scores(spark, one, texts), _scores(spark, dealt, texts), rtol=0.02)
+    words = sorted({w for r in docs.collect() for w in r.text.split()}) + ["_"]
+    place = {w: i for i, w in enumerate(words)}
+    counts = np.zeros((len(words), len(words)), np.int64)       # the last: the start as a context, the end as a word
+    for r in docs.collect():
+        path = ["_", *r.text.split(), "_"]
+        for a, b in zip(path, path[1:]):
+            counts[place[a], place[b]] += 1
+    dense = np.mean([hpylm.chain(counts, k) for k in range(4)], axis=0)
+    expected = [sum(math.log10(dense[place[a], place[b]]) for a, b in zip(p, p[1:])) for p in (["_", *t.split(), "_"] for t in texts[:40])]
+    assert np.allclose(_scores(spark, one, texts[:40]), expected, rtol=0.05)
+    # after any context the probabilities of all words, of the end and of unseen words add up to one
+    part, every = hpylm.Part(one, 0), np.arange(len(one.root), dtype=np.uint64)
+    for context in (0, 7, len(one.root) - 1, 2 ** 63 + 1):       # two words, the start, a word never seen
+        u = np.full(len(every), context, np.uint64)
+        left = one.unseen * (part.left[context] if context < 2 ** 63 else 1)
+        assert (10 ** part.score(u, every, one.root)).sum() + left == pytest.approx(1, abs=1e-6)
+
+
+def test_every_word_of_a_count_is_seated():
+    rng = np.random.default_rng(2)
+    mean = hpylm.seat_words(np.array([1, 9, 200]), np.array([7, 50_000, 3_000]), 0.4, 0.5, rng)
+    each = [hpylm.seat(np.full(20_000, c), np.full(20_000, 0.4), 0.5, rng).mean() for c in (9, 200)]
+    assert mean[0] == 1 and np.allclose(mean[1:], each, rtol=0.03)
+
+
 def test_language_model_odd_rows(spark, odd_docs, no_docs):
     model = hpylm.fit(odd_docs)
     found = rows(hpylm.score(odd_docs, model), "doc_id", "n_tokens", "n_known")
