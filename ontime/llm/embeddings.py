@@ -9,9 +9,12 @@ distance, in which a vector meets those of its own and of the adjacent cells.  C
 within the block's share; each is verified in double precision on the original vectors, in the
 first block that finds it only.
 
+The blocks come one after the other.  A block's vectors are written once, in chunks of bounded size:
+small cells that follow one another share a chunk, a cell with many vectors is cut into several.  A
+unit is two chunks with adjacent cells; the task that compares them reads them from their folders, so
+no vector is copied for each chunk that it meets, and a task holds two chunks whatever the table's size.
 Links are counted and joined in the task that finds them: it gives each vector's number of links
-and the least vector it is connected with, never the pairs.  A cell with many vectors is cut into
-chunks, and a task compares two chunks, so that a hot cell is many bounded tasks.
+and the least vector it is connected with, never the pairs.
 
 Vectors of each length are joined by themselves; none of two lengths link.  Inside, every row has a
 number of its own, so that null and repeated ids are compared like any other.
@@ -31,10 +34,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, functions as F
 
 from ontime.llm.links import Union, components
 from ontime.session import shared_dir
+from ontime.sources.catalog import remove
+from ontime.sources.zipcsv import filesystem
 
 BLOCKS, TILE, WIDE = 4, 512, 2048
 #: Bytes of the vectors of a chunk; a task holds two.
@@ -42,20 +49,26 @@ CHUNK_BYTES = 1 << 24
 #: Vectors in the table from which a block's grid has one more axis.
 MORE_AXES = (500_000, 5_000_000, 50_000_000)
 _AT_ONCE = 50_000
+#: Cells along an axis; vectors have length 1.
+_CELLS = 100_003
 
 
-def _matrix(part: pa.RecordBatch) -> np.ndarray:
+def _matrix(part: pa.RecordBatch | pa.Table, size: int) -> np.ndarray:
+    """Vectors of ``size`` components, kept as they were given: as floats or as doubles."""
     values = part.column("v")
-    return np.frombuffer(b"".join(values.to_pylist()), np.float64).reshape(len(values), -1)
+    data = b"".join(values.to_pylist())
+    kind = np.float32 if len(data) == 4 * size * len(values) else np.float64
+    return np.frombuffer(data, kind).reshape(len(values), size).astype(np.float64)
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """id, v (doubles as bytes) of the vectors that can link."""
+    """id, v (components as bytes) of the vectors that can link."""
+    kind = pa.float32() if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else pa.float64()
     schema = pa.schema([("id", pa.int64()), ("v", pa.binary()), ("size", pa.int32())])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            column = part.column("embedding").cast(pa.list_(pa.float64()))
+            column = part.column("embedding").cast(pa.list_(kind))
             size = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
             flat = pc.fill_null(column.flatten(), math.nan).to_numpy(zero_copy_only=False)
             ends = np.cumsum(size)
@@ -76,7 +89,7 @@ def rotation(vectors: DataFrame, size: int) -> np.ndarray:
         total = np.zeros((size + 1, size + 1))
         for part in batches:
             if part.num_rows:
-                x = _matrix(part)
+                x = _matrix(part, size)
                 x = np.hstack([x / np.linalg.norm(x, axis=1, keepdims=True), np.ones((len(x), 1))])
                 total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["k", "s"])
@@ -108,71 +121,91 @@ class Grid:
     def turn(self, x: np.ndarray) -> np.ndarray:
         return (x / np.linalg.norm(x, axis=1, keepdims=True)) @ self.axes
 
-    def cells(self, y: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, bool]]:
-        """(cell of each vector as a number, whether it is its own cell)."""
+    def cells(self, y: np.ndarray, block: int) -> np.ndarray:
+        """The cell of each vector as a number."""
         width = math.sqrt(self.share[block]) * (1 + 1e-9)
         home = np.floor(y[:, self.lead[block]] / width).astype(np.int64)
-        for step in self.back:
-            at = home[:, :len(step)] + step
-            number = np.full(len(y), block, np.int64)
-            for k in range(at.shape[1]):
-                number = number * 100_003 + at[:, k] + 50_000
-            yield number, not any(step)
+        number = np.zeros(len(y), np.int64)
+        for k in range(home.shape[1]):
+            number = number * _CELLS + home[:, k] + _CELLS // 2
+        return number
 
+    def adjacent(self) -> list[int]:
+        """What is added to a cell's number for itself and half of its neighbours."""
+        return [sum(x * _CELLS ** k for k, x in enumerate(reversed(s))) for s in self.back]
 
-def _sizes(vectors: DataFrame, grid: Grid) -> dict[int, int]:
-    """Members of each cell; the cells are as many as the grid has, whatever the number of vectors."""
+
+def _sizes(vectors: DataFrame, grid: Grid) -> list[dict[int, int]]:
+    """Vectors of each cell, for each block; the cells are as many as the grid has, whatever the number of vectors."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = defaultdict(int)
+        total: dict[tuple[int, int], int] = defaultdict(int)
         for part in batches:
             if part.num_rows:
-                y = grid.turn(_matrix(part))
+                y = grid.turn(_matrix(part, len(grid.axes)))
                 for b in range(len(grid.of)):
-                    for number, _ in grid.cells(y, b):
-                        for c, n in zip(*np.unique(number, return_counts=True)):
-                            total[int(c)] += int(n)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
-                                         names=["cell", "n"])
+                    for c, n in zip(*np.unique(grid.cells(y, b), return_counts=True)):
+                        total[b, int(c)] += int(n)
+        yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in total], pa.int32()), pa.array([c for _, c in total], pa.int64()),
+                                          pa.array(list(total.values()), pa.int64())], names=["block", "cell", "n"])
+
+    rows = vectors.select("v").mapInArrow(task, "block int, cell long, n long").groupBy("block", "cell").agg(F.sum("n").alias("n")).collect()
+    return [{r["cell"]: r["n"] for r in rows if r["block"] == b} for b in range(len(grid.of))]
+
+
+def chunks_of(sizes: dict[int, int], chunk: int, steps: list[int]) -> tuple[dict[int, tuple[int, int]], list[tuple[int, int]]]:
+    """(first chunk and number of chunks of each cell, the pairs of chunks whose vectors can be close).
+    ``steps``: from a cell's number to those of itself and half of its neighbours."""
+    at: dict[int, tuple[int, int]] = {}
+    last, room = -1, 0
+    for cell, n in sorted(sizes.items()):
+        if n > chunk:
+            at[cell] = last + 1, math.ceil(n / chunk)
+            last, room = last + at[cell][1], 0
+            continue
+        if n > room:
+            last, room = last + 1, chunk
+        at[cell] = last, 1
+        room -= n
+    units = set()
+    for cell, (one, n) in at.items():
+        for step in steps:
+            if cell + step in at:
+                two, k = at[cell + step]
+                units |= {(min(i, j), max(i, j)) for i in range(one, one + n) for j in range(two, two + k)}
+    return at, sorted(units)
+
+
+def _dealt(vectors: DataFrame, grid: Grid, block: int, at: dict[int, tuple[int, int]]) -> DataFrame:
+    """chunk, id, v: every vector once, in its chunk of the block."""
+    cells = np.array(sorted(at), np.int64)
+    first, parts = np.array([at[c] for c in cells.tolist()], np.int64).reshape(-1, 2).T
 
-    rows = vectors.select("v").mapInArrow(task, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
-    return {r.cell: r.n for r in rows}
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            if part.num_rows:
+                own = np.searchsorted(cells, grid.cells(grid.turn(_matrix(part, len(grid.axes))), block))
+                ids = part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+                spread = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+                chunk = first[own] + (spread % parts[own].astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(chunk.astype(np.int32)), part.column("id"), part.column("v")],
+                                                 names=["chunk", "id", "v"])
 
+    return vectors.select("id", "v").mapInArrow(task, "chunk int, id long, v binary")
 
-def _dealt(vectors: DataFrame, grid: Grid, parts: dict[int, int]) -> DataFrame:
-    """cell, one, two (chunks), block, chunk, home, ids, vectors: the vectors of each unit, many a row.
-    ``parts`` has the cells that are cut into several chunks."""
-    schema = pa.schema([("cell", pa.int64()), ("one", pa.int32()), ("two", pa.int32()), ("block", pa.int32()),
-                        ("chunk", pa.int32()), ("home", pa.bool_()), ("ids", pa.binary()), ("v", pa.binary())])
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            if not part.num_rows:
-                continue
-            x, ids = _matrix(part), part.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            y = grid.turn(x)
-            spread = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            out = []
-            for b in range(len(grid.of)):
-                for number, home in grid.cells(y, b):
-                    for cell in np.unique(number).tolist():
-                        own = np.flatnonzero(number == cell)
-                        n = parts.get(cell, 1)
-                        chunk = (spread[own] % np.uint64(n)).astype(np.int64)
-                        for c in range(n):
-                            some = own[chunk == c]
-                            if len(some):
-                                load = ids[some].tobytes(), x[some].tobytes()
-                                out += [(cell, min(c, d), max(c, d), b, c, home, *load) for d in range(n)]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-
-    return vectors.select("id", "v").mapInArrow(
-        task, "cell long, one int, two int, block int, chunk int, home boolean, ids binary, v binary")
-
-
-def compare(grid: Grid, block: int, ids: np.ndarray, x: np.ndarray, home: np.ndarray, chunk: np.ndarray,
-            across: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(links, least linked position) of each vector of a unit.  A pair is compared if one of the two
-    is at home in the cell; ``across``: only pairs of different chunks."""
+def _read(folder: str, chunk: int, grid: Grid, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, vectors) of a chunk, by the block's first axis."""
+    fs, at = filesystem(f"{folder}/chunk={chunk}")
+    files = sorted(f.path for f in fs.get_file_info(pafs.FileSelector(at)) if f.path.endswith(".parquet"))
+    whole = pa.concat_tables([pq.read_table(f, columns=["id", "v"], filesystem=fs, partitioning=None) for f in files])
+    ids, x = whole.column("id").to_numpy(), _matrix(whole, len(grid.axes))
+    order = np.argsort(grid.turn(x)[:, grid.of[block][0]], kind="stable")
+    return ids[order], x[order]
+
+
+def compare(grid: Grid, block: int, ids: np.ndarray, x: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """(links, least linked position) of each vector of a unit: the first ``first`` with the others, or
+    with one another if there are no others.  Both are in the order of the block's first axis."""
     y = grid.turn(x)
     norm = np.linalg.norm(x, axis=1)
     own = grid.of[block]
@@ -195,70 +228,64 @@ def compare(grid: Grid, block: int, ids: np.ndarray, x: np.ndarray, home: np.nda
     half, one = (z * z).sum(axis=1) / 2, np.ones(len(z), np.float32)
     left, right = np.column_stack([z, one, -half]), np.column_stack([z, -half, one])
     least = np.float32(-(grid.share[block] + 1e-5) / 2)
-
-    def sweep(rows: np.ndarray, columns: np.ndarray, same: bool = False) -> None:
-        """Every pair of ``rows`` and ``columns``; ``same``: both are one list, each pair once."""
-        a, b = left[rows], right[columns]
-        for at in range(0, len(rows), TILE):
-            for to in range(at if same else 0, len(columns), WIDE):
-                product = a[at:at + TILE] @ b[to:to + WIDE].T
-                some = np.flatnonzero(product.max(axis=1) >= least)
-                i, j = np.nonzero(product[some] >= least)
-                i, j = some[i] + at, j + to
-                if same:
-                    once = j > i
-                    i, j = i[once], j[once]
-                for k in range(0, len(i), _AT_ONCE):
-                    verify(rows[i[k:k + _AT_ONCE]], columns[j[k:k + _AT_ONCE]])
-
-    if across:
-        first = chunk == chunk.min()
-        sweep(np.flatnonzero(first & home), np.flatnonzero(~first))
-        sweep(np.flatnonzero(first & ~home), np.flatnonzero(~first & home))
-    else:
-        sweep(np.flatnonzero(home), np.flatnonzero(home), same=True)
-        sweep(np.flatnonzero(home), np.flatnonzero(~home))
+    axis, reach = y[:, own[0]], math.sqrt(grid.share[block]) * (1 + 1e-9)
+    same = first == len(ids)
+    start = 0 if same else first
+    for at in range(0, first, TILE):
+        end = min(at + TILE, first)
+        for to in range(at if same else start, len(ids), WIDE):
+            if axis[to] > axis[end - 1] + reach:
+                break
+            if axis[min(to + WIDE, len(ids)) - 1] < axis[at] - reach:
+                continue
+            product = left[at:end] @ right[to:to + WIDE].T
+            some = np.flatnonzero(product.max(axis=1) >= least)
+            i, j = np.nonzero(product[some] >= least)
+            i, j = some[i] + at, j + to
+            if same:
+                once = j > i
+                i, j = i[once], j[once]
+            for k in range(0, len(i), _AT_ONCE):
+                verify(i[k:k + _AT_ONCE], j[k:k + _AT_ONCE])
     return links, union.label
 
 
-def _compared(dealt: DataFrame, grid: Grid) -> DataFrame:
+def _compared(units: DataFrame, grid: Grid, block: int, folder: str) -> DataFrame:
     """id, links, root: of each vector with a link in a unit, how many, and a vector it is connected with."""
-    def close(rows: list[tuple]) -> pa.RecordBatch:
-        _, one, two, block = rows[0][:4]
-        ids = np.concatenate([np.frombuffer(r[6], np.int64) for r in rows])
-        x = np.concatenate([np.frombuffer(r[7], np.float64) for r in rows]).reshape(len(ids), -1)
-        size = [len(r[6]) // 8 for r in rows]
-        chunk, home = np.repeat([r[4] for r in rows], size), np.repeat([r[5] for r in rows], size)
-        links, label = compare(grid, block, ids, x, home, chunk, one != two)
-        some = np.flatnonzero(links)
-        return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[label[some]])],
-                                          names=["id", "links", "root"])
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit: list[tuple] = []
         for part in batches:
-            for i in range(part.num_rows):
-                row = tuple(part.column(k)[i].as_py() for k in range(part.num_columns))
-                if unit and unit[0][:3] != row[:3]:
-                    yield close(unit)
-                    unit = []
-                unit.append(row)
-        if unit:
-            yield close(unit)
+            for one, two in zip(part.column("one").to_pylist(), part.column("two").to_pylist()):
+                ids, x = _read(folder, one, grid, block)
+                first = len(ids)
+                if one != two:
+                    more, z = _read(folder, two, grid, block)
+                    ids, x = np.concatenate([ids, more]), np.concatenate([x, z])
+                links, label = compare(grid, block, ids, x, first)
+                some = np.flatnonzero(links)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[label[some]])],
+                                                 names=["id", "links", "root"])
 
-    return (dealt.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two")
-            .mapInArrow(task, "id long, links long, root long"))
+    return units.mapInArrow(task, "id long, links long, root long")
 
 
 def _links(good: DataFrame, size: int, n: int, cosine: float, blocks: int, chunk: int | None) -> DataFrame:
     """id, links, root of the vectors of one length (``_compared``), written."""
+    spark = good.sparkSession
     grid = Grid(rotation(good, size), cosine, blocks, 1 + sum(n >= least for least in MORE_AXES))
     chunk = chunk or max(1, CHUNK_BYTES // (8 * size))
-    parts = {cell: math.ceil(k / chunk) for cell, k in _sizes(good, grid).items() if k > chunk}
-    folder = shared_dir(good.sparkSession, "vector-links")
-    found = _compared(_dealt(good, grid, parts), grid)
-    found.write.parquet(folder)
-    return good.sparkSession.read.schema(found.schema).parquet(folder)
+    out = None
+    for block, sizes in enumerate(_sizes(good, grid)):
+        at, pairs = chunks_of(sizes, chunk, grid.adjacent())
+        chunks = 1 + max(i + k - 1 for i, k in at.values())
+        dealt, folder = shared_dir(spark, "vector-chunks"), shared_dir(spark, "vector-links")
+        _dealt(good, grid, block, at).repartition(chunks, "chunk").write.partitionBy("chunk").parquet(dealt)
+        units = spark.createDataFrame(pairs, "one int, two int").repartition(min(len(pairs), 16 * spark.sparkContext.defaultParallelism))
+        found = _compared(units, grid, block, dealt)
+        found.write.parquet(folder)
+        remove(spark, dealt)
+        found = spark.read.schema(found.schema).parquet(folder)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = 0.9, blocks: int = BLOCKS, chunk: int | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """Operators 4, 7 and 10 against brute force, with nulls, ties, repeated rows and empty tables."""
 
 import hashlib
+import math
 import random
 
 import numpy as np
@@ -200,3 +201,28 @@ def test_substring_dedup_odd_rows(spark, odd_docs, no_docs):
     assert found[5].n_words == found[5].n_removed == 3000 and found[5].text == ""
     assert found[0].n_removed == 0 and out.count() == odd_docs.count()
     assert substrings.remove_repeated(no_docs).count() == 0
+def test_a_vector_is_dealt_once_and_chunks_are_bounded():
+    steps = [-101, -100, -99, -1, 0]
+    sizes = {100 * a + b: n for a, b, n in ((1, 1, 2), (1, 2, 3), (1, 3, 40), (2, 2, 1), (2, 3, 9), (5, 5, 4), (5, 6, 4))}
+    at, units = embeddings.chunks_of(sizes, 10, steps)
+    held = {}
+    for cell, (one, n) in at.items():
+        for k in range(one, one + n):
+            held[k] = held.get(k, 0) + math.ceil(sizes[cell] / n)
+    assert sorted(held) == list(range(len(held))) and max(held.values()) <= 10 and at[103][1] == 4
+    close = {(a, b) for a in at for b in at if abs(a // 100 - b // 100) <= 1 and abs(a % 100 - b % 100) <= 1}
+    for a, b in close:
+        assert all((min(i, j), max(i, j)) in units for i in range(at[a][0], sum(at[a])) for j in range(at[b][0], sum(at[b])))
+
+
+def test_a_hot_cell_is_written_once_whatever_its_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.ones(12) + rng.normal(0, 1e-3, (300, 12))       # all in one cell: 30 chunks, 465 units a block
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    dealt, whole = [], embeddings._dealt
+    monkeypatch.setattr(embeddings, "_dealt", lambda *a: dealt.append(whole(*a)) or dealt[-1])
+    found = rows(embeddings.near_duplicates(frame, chunk=10, blocks=2), "vec_id", "n_links", "component_id", "kept")
+    assert sorted(found) == [(i, 299, 0, i == 0) for i in range(300)]
+    assert [d.count() for d in dealt] == [300, 300]
+
+
