@@ -104,9 +104,15 @@ def _write_faulty(spark, d, root: str) -> None:
 
 
 def _cleaned(spark, d) -> str:
-    """The output folder of a clean job over archives with faults, run once per application."""
-    raw = chain.staged_path(spark, d, "raw_faulty", lambda root: _write_faulty(spark, d, root))
-    return chain.staged_path(spark, d, "cleaned_faulty", lambda out: jobs.clean_job(spark, raw, out))
+    """The output folder of a clean job over archives with faults, run once per application.  These archives
+    are read by that job alone, so they go when it has ended."""
+    def build(out: str) -> None:
+        raw = shared_dir(spark, "raw_faulty")
+        _write_faulty(spark, d, raw)
+        jobs.clean_job(spark, raw, out)
+        catalog.remove(spark, raw)
+
+    return chain.staged_path(spark, d, "cleaned_faulty", build)
 
 
 @register("faulty_archives", queries_io.by_directory_sql(

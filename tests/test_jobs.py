@@ -76,3 +76,16 @@ def test_yearly_weather_by_name_and_named_tables(spark, scratch):
     jobs.tables_job(spark, out, tb.airports_raw(spark, D), named=True)
     spark.catalog.dropTempView("v_airline_kpi")
     assert spark.sql("SELECT sum(flights) AS n FROM v_airline_kpi").first().n == whole.count()
+
+
+def test_the_chain_leaves_no_faulty_archives_behind(spark):
+    import glob
+
+    from ontime.plans import queries_tables
+    from ontime.session import shared_root
+
+    sf = "/root/testdata/sf0.001"
+    assert queries_tables.q_jobs_chain(spark, sf).count() > 0
+    status = spark.read.parquet(f"{queries_tables._cleaned(spark, sf)}/archive_status")
+    assert status.where("error IS NOT NULL").count() > 0        # they were there and were read
+    assert not glob.glob(f"{shared_root(spark).removeprefix('file:')}/ontime/raw_faulty-*")
